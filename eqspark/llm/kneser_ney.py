@@ -301,9 +301,10 @@ def train(texts: DataFrame) -> Model:
     n, v = sums[0] or 0, sums[1] or 0
     pair_bits = power_of_two(n / TOKENS_A_BUCKET)
     least = max(n >> pair_bits >> 3, 1)
-    tops = counted.select(F.explode(F.arrays_zip("top", "top_n")).alias("t")).where(F.col("t.top_n") >= least)
+    often = F.transform(F.filter(F.arrays_zip("top", "top_n"), lambda t: t["top_n"] >= least), lambda t: t["top"])
     starts = texts.count()
-    hot = {np.uint64(r[0] & 0xFFFFFFFFFFFFFFFF) for r in tops.select("t.top").collect()} | ({START} if starts >= least else set())
+    found = counted.select(often.alias("often")).where(F.size("often") > 0).collect()  # at most eight words a bucket in all
+    hot = {np.uint64(h & 0xFFFFFFFFFFFFFFFF) for r in found for h in r["often"]} | ({START} if starts >= least else set())
     hot = np.array(sorted(hot), np.uint64)  # at most eight a bucket, and the start
     hot_shared = spark.sparkContext.broadcast(hot)
 

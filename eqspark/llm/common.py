@@ -136,19 +136,24 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 
 class Bounded(dict):
-    """A memo for per-word results that is emptied when it has ``limit`` entries, so that a
-    worker's memory stays bounded however many distinct words it meets."""
+    """A memo for per-word results that holds at most ``limit`` entries, so that a worker's memory
+    stays bounded however many distinct words it meets. Half of them are older: when the newer half
+    is full, it takes the older one's place, and an older entry that is asked for becomes new again."""
 
     def __init__(self, compute, limit: int = 600_000, longest: int = 64):
         super().__init__()
-        self.compute, self.limit, self.longest = compute, limit, longest
+        self.compute, self.half, self.longest, self.older = compute, limit // 2, longest, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 

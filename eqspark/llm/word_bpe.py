@@ -3,13 +3,13 @@
 With such a tokenizer (``word_bpe_49k.json``: NFC, white space to a blank, lower case, split into
 words, digits and marks) no token, and no special string, crosses ASCII white space. A text's ids
 are therefore the ids of its white-space-delimited chunks, one after the other, and a memo over
-chunks replaces most of the work. Chunks of plain Latin letters, digits and ASCII marks are merged
-here; any other chunk goes through the library, so that the result equals the library's for all texts.
+chunks replaces most of the work. Chunks of plain Latin letters, digits and ASCII marks are cut
+into words here, and only the library's merging runs on a new word; any other chunk goes through the
+whole library, so that the result equals the library's for all texts.
 """
 
 from __future__ import annotations
 
-import json
 import re
 import struct
 
@@ -17,7 +17,7 @@ import numpy as np
 
 from .common import Bounded
 
-#: Chunks of these characters only are merged here: ASCII marks but for ``<`` (special strings) and
+#: Chunks of these characters only are cut here: ASCII marks but for ``<`` (special strings) and
 #: letters whose case mapping, class and NFC form are the same in every Unicode version.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ¡¿]+")
 #: The tokenizer's own split over such chunks, after lower-casing.
@@ -40,21 +40,16 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        vocab: dict[str, int] = model["vocab"]
-        suffix: str = model["end_of_word_suffix"] or ""
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {vocab[a] << 20 | vocab[b]: i for i, (a, b) in enumerate(pairs)}
-        self.merged = [vocab[a + b] for a, b in pairs]
-        alphabet = byte_alphabet()
-        self.first = [vocab[alphabet[b]] for b in range(256)]
-        self.last = [vocab[alphabet[b] + suffix] for b in range(256)]
+        self.merge = self.library.model.tokenize  # the merges alone, of one word of byte stand-ins
+        self.alphabet = byte_alphabet()
         self.words = Bounded(self._word, memo)
         self.chunks = Bounded(self._chunk, memo)
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, (text or "").encode().split()))
+        data = (text or "").encode()
+        if b"<|" not in data:  # as a special string may stand there, which lower case would alter or make
+            data = data.lower()
+        return b"".join(map(self.chunks.__getitem__, data.split()))
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
@@ -63,21 +58,10 @@ class WordEncoder:
         return b"".join(map(self.words.__getitem__, WORDS.findall(text.lower())))
 
     def _word(self, word: str) -> bytes:
-        """Merge the pair of lowest rank, the leftmost of equals, until none is left."""
-        data = word.encode()
-        parts = [self.first[b] for b in data[:-1]]
-        parts.append(self.last[data[-1]])
-        get, none = self.ranks.get, 1 << 30
-        ranks = [get(a << 20 | b, none) for a, b in zip(parts, parts[1:], strict=False)]
-        while ranks and (best := min(ranks)) != none:
-            i = ranks.index(best)
-            parts[i] = merged = self.merged[best]
-            del parts[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = get(parts[i - 1] << 20 | merged, none)
-            if i < len(ranks):
-                ranks[i] = get(merged << 20 | parts[i + 1], none)
-        return struct.pack(f"<{len(parts)}I", *parts)
+        if not word.isascii():
+            word = "".join(map(self.alphabet.__getitem__, word.encode()))
+        ids = [t.id for t in self.merge(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _encoders: dict[str, WordEncoder] = {}

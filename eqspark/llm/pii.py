@@ -70,7 +70,7 @@ class Kind:
 CONTEXT_BONUS, CONTEXT_CHARS = 0.3, 40
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{_WORD})){_WORD}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda v: F.lit(True), 0.7, "mail|contact|write|address"),
-    Kind("ip", r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", lambda v: v.rlike(rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"), 0.5, "ip|host|server|addr"),
+    Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", lambda v: v.rlike(rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"), 0.5, "ip|host|server|addr"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", "", lambda v: _counted(v, 16, 19, luhn), 0.7, "card|visa|credit|pay"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", lambda v: _counted(v, 8, 15), 0.5, "phone|tel|call|mobile|fax"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "", mod97, 0.7, "iban|bank|account|konto|cuenta|compte", 0.6),

@@ -143,6 +143,12 @@ def test_further_kinds_and_redaction(spark, odd):
     assert pii.redact(odd).columns == odd.columns and pii.redact(odd).count() == odd.count()
 
 
+def test_long_runs_of_digits_take_linear_time(spark):
+    texts = ["x.@+ " + "1" * 300_000, "1" * 300_000 + ".2.3.4 1.2.3.4", "1.2.3.45.6.7.8 9a1.2.3.4"]
+    rows = sorted(pii.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+    assert [r.n_ip for r in rows] == [0, 1, 2]
+
+
 def brute_near(rows):
     """Classes and links by comparing all pairs of distinct texts."""
     texts = sorted({t or "" for _, t in rows})

@@ -218,7 +218,25 @@ def page_label(spark, sf_dir):
     return synthetic_lines(spark, sf_dir).select("doc_id", F.col("line_no").cast("long").alias("line_no"), L.page_label(strip(F.col("text"))).alias("l")).select("doc_id", "line_no", "l.*")
 
 
-@query()
+#: Facts of the synthetic lines (all ASCII) that the page-line rules weigh, in DuckDB.
+_PAGE_FACTS = (
+    f"(SELECT *, {SIGNAL_DUCK} AS sig, "
+    + r"""regexp_matches(text, '=|\\(?:frac|sum|int|prod|lim|begin\{(?:array|matrix|pmatrix|bmatrix)|le|ge|neq|approx|in|to|rightarrow|leftarrow)\b|\b(?:lim|arg\s*min|arg\s*max)\b') AS strong,
+ regexp_matches(text, '(?i)\b(?:according|ancilla|figure|implementation|resulting|controlled|respectively|where|describes|represents|shown|given|using|between|register)\b') AS cue,
+ regexp_matches(text, '(?i)\b(?:Eq|Fig|where|giving|respectively|represents|describes)\b') OR text = '' AS stop, regexp_matches(text, '\[[0-9]+(?:,\s*[0-9]+)*\]') AS cites,
+ len(regexp_extract_all(text, '\b[a-zA-Z]{4,}\b')) AS words, len(regexp_extract_all(text, '[=+\-*/^_()|]')) AS marks, len(regexp_extract_all(text, '[=+*/^_|]')) AS strong_marks, len(regexp_extract_all(text, '[=+\-*/^_<>|]')) AS usable_marks,
+ regexp_full_match(text, '[\w\s\\{}()\[\].,|+\-*/^_=<>]+') AS only_math, regexp_matches(text, '[\w|()\[\]{}+\-*/^_=<>]') AS content FROM """
+    + f"{STRIPPED})"
+)
+
+
+@query(
+    f"""SELECT doc_id, CAST(line_no AS INT) AS line_no,
+ CASE WHEN stop OR cites OR (length(text) > 160 AND NOT sig) OR (words > 3 AND strong_marks = 0) THEN false WHEN sig AND (marks >= 2 OR words <= 6) THEN true ELSE only_math AND marks >= 3 END AS fragment,
+ NOT stop AND length(text) <= 35 AND words <= 1 AND content AS goes_on,
+ concat_ws(',', CASE WHEN words > 8 THEN 'fallback_candidate_has_many_prose_words' END, CASE WHEN NOT strong THEN 'fallback_candidate_has_weak_equation_structure' END, CASE WHEN cue AND words > 4 THEN 'fallback_candidate_contains_prose_cue' END) AS warnings,
+ NOT (text = '' OR NOT sig OR (words > 12 AND NOT strong) OR (cue AND words > 8 AND usable_marks < 4)) AS usable FROM {_PAGE_FACTS}"""
+)
 def page_fragments(spark, sf_dir):
     t = strip(F.col("text"))
     return synthetic_lines(spark, sf_dir).select("doc_id", "line_no", L.is_page_fragment(t).alias("fragment"), L.is_page_continuation(t).alias("goes_on"), F.concat_ws(",", L.page_text_warnings(t)).alias("warnings"), L.is_usable_page_text(t, False).alias("usable"))

@@ -104,6 +104,9 @@ def test_extraction_of_a_document(spark):
     assert not set(d.clean_labels) & set(d.needs_review) and d.suspicious_labels == ["A4"]
     entry = {r.doc_id: r.equations for r in R.dataset(V.extract_equations(docs)).collect()}["d"]
     assert all(len(e["relations"]) == 4 for e in entry.values()) and entry["3"]["audit-trail"]["extract_enumerated_equations"].startswith("Selected equation 2/5")
+    for column in ("confidence", "source"):
+        counted = {(r.doc_id, r[column]): r.n for r in R.counts(V.extract_equations(docs), column).collect()}
+        assert counted == {("d", k): sum(e[column] == k for e in found) for k in {e[column] for e in found}}
     assert V.extract_equations(docs, limit=2).count() == 2
 
 

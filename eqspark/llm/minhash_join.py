@@ -208,24 +208,36 @@ def verified(docs: DataFrame, nodes: DataFrame, words: int, threshold: tuple[int
     return stored(dealt.mapInArrow(run, schema), "links")
 
 
-def components(edges: DataFrame, most: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, label``: the least node of each one's connected component, for nodes with an edge.
 
-    Labels spread to neighbours and then jump to their label's label, so the number of rounds is
-    about the logarithm of a component's width. Each round is stored.
+    Each round contracts the graph: a node takes the name of the first of itself and its neighbours,
+    and edges join names, until none is left. The order is that of the nodes in one round, which ends
+    stars and cliques at once, and a new random one in the next, which leaves at most about three
+    quarters of the names at any shape; so the rounds grow with the logarithm of a component's nodes.
+    The last name in an order is never taken, so every round has fewer. Each round is stored.
     """
-    both = stored(edges.select("node", F.col("root").alias("to")).where("node <> to").union(edges.select(F.col("root"), F.col("node")).where("node <> root")).distinct(), "edges")
-    labels = stored(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("label")), "labels")
-    for _ in range(most):
-        near = both.join(labels.select(F.col("node").alias("to"), "label"), "to").groupBy("node").agg(F.min("label").alias("near"))
-        spread = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        after = stored(spread.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label")), "labels")
-        changed = after.where("label <> old").limit(1).count()
-        labels = after.select("node", "label")
-        if not changed:
-            return labels
-    raise RuntimeError("components did not settle")
+
+    def simple(a: Column, b: Column) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    left = stored(edges.where("node <> root").select(*simple(F.col("node"), F.col("root"))).distinct(), "edges")
+    steps: list[DataFrame] = []
+    while not left.isEmpty():
+        turn = len(steps)
+        near = left.select(F.col("a").alias("node"), F.col("b").alias("to")).union(left.select("b", "a"))
+        place = (lambda c, turn=turn: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("name"))) if turn % 2 else (lambda c: F.struct(F.col(c).alias("name")))
+        first = near.groupBy("node").agg(F.min(place("to")).alias("first"))
+        step = stored(first.select("node", F.least("first", place("node"))["name"].alias("name")), "names")
+        named = left.join(step.select(F.col("node").alias("a"), F.col("name").alias("c")), "a").join(step.select(F.col("node").alias("b"), F.col("name").alias("d")), "b")
+        left = stored(named.where("c <> d").select(*simple(F.col("c"), F.col("d"))).distinct(), "edges")
+        steps.append(step)
+    if not steps:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    names = steps.pop()
+    while steps:  # from the last round to the first: a name without edges is its component's last
+        names = stored(steps.pop().withColumnRenamed("name", "own").join(names.withColumnRenamed("node", "own"), "own", "left").select("node", F.coalesce("name", "own").alias("name")), "names")
+    return names.join(names.groupBy("name").agg(F.min("node").alias("label")), "name").select("node", "label")
 
 
 def near_duplicates(

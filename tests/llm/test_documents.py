@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -189,6 +190,28 @@ def test_near_duplicates(odd, docs, spark):
     assert kept.columns == odd.columns and sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == sorted(c if c is not None else -1 for c in classes)
 
 
+def test_long_chains_of_near_texts_are_one_class(spark):
+    words = [f"w{i}" for i in range(5 * 1200 + 100)]  # neighbours share 91 of 101 n-grams
+    chain = [(i, " ".join(words[5 * i : 5 * i + 100])) for i in range(1200)]
+    rows = minhash_join.join_documents(spark.createDataFrame(chain, "doc_id long, text string")).collect()
+    assert len(rows) == 1200 and {r.class_id for r in rows} == {0}
+
+
+def test_components_at_any_shape(spark):
+    r = random.Random(4)
+    shapes = [[(i, i + 1) for i in range(300)], [(i + 1, 0) for i in range(300)], [(i, r.randrange(i)) for i in range(1, 300)], [(0, 0)], [(0, 1), (1, 2), (2, 0), (1, 0)]]
+    want, edges = {}, []
+    for k, shape in enumerate(shapes):
+        names = {i: hashlib.sha256(b"%d %d" % (k, i)).digest()[:16] for i in set(sum(shape, ()))}
+        edges += [(bytearray(names[i]), bytearray(names[j])) for i, j in shape]
+        want |= dict.fromkeys(names.values(), min(names.values())) if shape != [(0, 0)] else {}
+    path = [bytes([i // 256, i % 256]) for i in range(300)]  # in order along the path
+    edges += [(bytearray(a), bytearray(b)) for a, b in zip(path, path[1:])]
+    want |= dict.fromkeys(path, path[0])
+    rows = minhash_join.components(spark.createDataFrame(edges, "node binary, root binary")).collect()
+    assert len(rows) == len(want) and {bytes(n): bytes(label) for n, label in rows} == want
+
+
 def test_bands_meet_the_recall():
     bands = minhash_join.choose_bands(0.8, 0.99999, 4)
     assert 1 - (1 - 0.8**4) ** bands >= 0.99999 > 1 - (1 - 0.8**4) ** (bands - 1)

@@ -40,6 +40,17 @@ def test_quality(odd, docs, labels):
     assert sum(good) >= 0.95 * len(good)
 
 
+def test_labelled_bad_documents_go(spark, docs, labels):
+    words = [f"w{i} is" for i in range(2000)]
+    junk = [(-1 - i, " ".join(f"{w}%%%" for w in words[9 * i : 9 * i + 30]), 0) for i in range(40)]
+    good = [(-101 - i, " ".join(words[9 * i : 9 * i + 30]), 1) for i in range(200)]
+    made = spark.createDataFrame(junk + good, "doc_id long, text string, quality int")
+    for table, quality in ((docs, labels), (made, made)):
+        rows = quality_forest.assess(table, quality_forest.fit(table, quality)).where("not base_failed")
+        n = {k: [r.kept for r in rows.join(quality.where(f"quality = {k}"), "doc_id").collect()] for k in (0, 1)}
+        assert n[0] and sum(n[0]) <= 0.05 * len(n[0]) and sum(n[1]) >= 0.998 * len(n[1])
+
+
 def test_forest_finds_outliers_and_needs_labels(odd, labels):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(500, 3)), rng.normal(8, 1, size=(5, 3))])

@@ -83,20 +83,27 @@ def shard_by_curve(rows: DataFrame, dimensions: list[Column], shards: int, bits:
     return inside.select(*rows.columns, "cell", shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, bits: int = 6) -> DataFrame:
-    """Documents in shards over length, language and source. A null text is the empty text."""
+def shard_documents(docs: DataFrame, shards: int = 40, bits: int = 6, more: tuple[Column, ...] = ()) -> DataFrame:
+    """Documents in shards over length, language and source. A null text is the empty text.
+
+    Columns ``more`` of ``docs`` pass through.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         F.col("doc_id").cast("long"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        log_cell(F.length(text), bits).alias("length_cell"), name_cell(F.col("lang"), bits).alias("lang_cell"), name_cell(F.col("source"), bits).alias("source_cell"),
+        log_cell(F.length(text), bits).alias("length_cell"), name_cell(F.col("lang"), bits).alias("lang_cell"), name_cell(F.col("source"), bits).alias("source_cell"), *more,
     )
     return shard_by_curve(rows, [F.col("length_cell"), F.col("lang_cell"), F.col("source_cell")], shards, bits)
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = 40, bits: int = 6) -> DataFrame:
-    """Write the rows of ``docs`` by shard and slot; return each shard's ranges, for pruning."""
-    placed = shard_documents(docs, shards, bits).select("doc_id", "shard", "slot", "size", "length_cell", "lang_cell", "source_cell")
-    table = docs.join(placed.select("doc_id", "shard", "slot"), "doc_id").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    """Write the rows of ``docs`` by shard and slot; return each shard's ranges, for pruning.
+
+    Whole rows go through placing, so null and repeated identifiers lose and multiply none.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    placed = shard_documents(docs, shards, bits, (row,))
+    table = placed.select("row.*", "shard", "slot").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
     table.write.partitionBy("shard").parquet(folder)
     ranges = [f(c).alias(f"{f.__name__}_{c}") for c in ("length_cell", "lang_cell", "source_cell") for f in (F.min, F.max)]
     return placed.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("bytes"), *ranges)

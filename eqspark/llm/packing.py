@@ -15,7 +15,7 @@ import struct
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_rows, ranked, stored
@@ -160,14 +160,34 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096) -> Dat
 
 
 def sequences(docs: DataFrame, placed: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
-    """``sequence_id, ids``: the packed token ids themselves, each row at most a capacity long."""
+    """``sequence_id, ids``: the packed token ids themselves, each row at most a capacity long.
+
+    Every row of ``placed`` takes a piece of ``docs`` with its identifier (or null), place, length and
+    checksum; of several such, each takes another one, so no piece is lost or comes twice.
+    """
     tail = struct.pack("<I", end_id)
+    cut = placed.where("piece = 1").agg(F.max("start")).first()[0]  # the capacity, if any document is longer
 
     def make():
         encode = word_encoder(tokenizer).encode
-        return lambda c: {"doc_id": c[0], "ids": [np.frombuffer(encode(t) + tail, "<u4").tolist() for t in c[1]]}
 
-    coded = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, ids array<int>")
-    parts = placed.join(coded, "doc_id").select("sequence_id", "offset", F.slice("ids", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias("ids"))
+        def work(columns):
+            out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
+            for i, text in zip(*columns, strict=True):
+                ids = np.frombuffer(encode(text) + tail, "<u4")
+                for piece, at in enumerate(range(0, len(ids), cut or len(ids))):
+                    part = ids[at : at + (cut or len(ids))]
+                    for k, v in zip(out, (i, piece, at, len(part), zlib.crc32(part.tobytes()), part.tolist()), strict=True):
+                        out[k].append(v)
+            return out
+
+        return work
+
+    coded = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, f"{PIECES}, ids array<int>")
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    left = placed.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("sequence_id", "offset"))).alias("l")
+    right = coded.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("ids"))).alias("r")
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*key, "nth"]]
+    parts = left.join(right, same).select("sequence_id", "offset", "ids")
     grouped = parts.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
     return grouped.select("sequence_id", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))

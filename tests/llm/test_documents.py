@@ -83,6 +83,13 @@ def test_shards(odd, docs, shards):
         assert cells == sorted(cells)
 
 
+def test_written_shards_are_whole_with_null_and_repeated_ids(spark, odd, tmp_path):
+    ranges = hilbert.write_shards(odd, str(tmp_path / "shards"), 7).collect()
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter(back.select(*odd.columns).collect()) == Counter(odd.collect())
+    assert {r.shard: r.rows for r in ranges} == Counter(r.shard for r in back.collect())
+
+
 def test_streams(odd, docs):
     for table in (odd, docs):
         texts = defaultdict(list)

@@ -12,6 +12,7 @@ import sentencepiece
 from eqspark.llm import bpe_automaton, packing, sstable, token_cache
 from eqspark.llm.common import fresh_dir, stored
 from eqspark.llm.word_bpe import WordEncoder
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -148,6 +149,15 @@ def test_packing(spark, odd, docs, word):
     assert all(whole[r.sequence_id][r.offset : r.offset + r.length] == ids[r.doc_id][r.start : r.start + r.length] for r in rows)
 
 
+def test_sequences_are_whole_with_null_and_repeated_ids(odd, word):
+    more = stored(odd.withColumn("doc_id", F.expr("case when doc_id % 3 > 0 then 5 else doc_id end")), "t")
+    placed = stored(packing.pack_documents(more, WORD), "t")
+    whole = {r.sequence_id: r.ids for r in packing.sequences(more, placed, WORD).collect()}
+    rows = placed.collect()
+    assert all(zlib.crc32(le(whole[r.sequence_id][r.offset : r.offset + r.length])) == r.ids_crc32 for r in rows)
+    assert sum(map(len, whole.values())) == sum(r.length for r in rows) == sum(len(word(t)) for (t,) in more.select("text").collect())
+
+
 def test_empty(spark, empty):
     assert token_cache.count_documents(empty, fresh_dir(spark, "t")).collect() == []
     assert sstable.tables_of(empty, WORD).collect() == []

@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, the separators of ``[^\x20\x09-\x0D]+``; bytes.split() splits at exactly these.
@@ -24,13 +24,16 @@ SPACE = " \t\n\r\x0b\x0c"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors can reach.
 
-    It is ``spark.checkpoint.dir`` of the session. Only where that is unset (tests, local mode)
-    a folder of our own is made and set as the checkpoint folder; it goes when Python ends.
+    It is ``spark.checkpoint.dir`` of the session. Only where that is unset in local mode (tests)
+    a folder of our own is made and set as the checkpoint folder; it goes when Python ends. A cluster
+    without the setting is refused, as its executors could not see the driver's folders.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = getattr(spark.sparkContext, "_eqspark_dir", None)
         if not configured:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             configured = tempfile.mkdtemp(prefix="eqspark-")
             spark.sparkContext._eqspark_dir = configured
             spark.sparkContext.setCheckpointDir(configured)
@@ -38,9 +41,47 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder."""
-    return f"{shared_dir(spark)}/eqspark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/eqspark/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Deletes, at its end, the folders that ``fresh_dir`` named in it.
+
+    For a step whose result is written elsewhere, or stored before the scope began to count.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        made = _scopes.pop()
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(hadoop).delete(where, True)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as keep it apart from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(names: list[str]) -> list[Column]:
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
 def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
@@ -95,15 +136,23 @@ def shared_writer(uri: str):
         os.replace(f"{path}.{part}", path)
 
 
-def get_bytes(uri: str) -> bytes:
+@contextlib.contextmanager
+def shared_reader(uri: str):
+    """A file of the shared folder, open for reading anywhere in it."""
     path = local_path(uri)
     if path is None:
         from pyarrow import fs
 
         system, inner = fs.FileSystem.from_uri(uri)
-        with system.open_input_stream(inner) as f:
-            return f.read()
-    with open(path, "rb") as f:
+        with system.open_input_file(inner) as f:
+            yield f
+    else:
+        with open(path, "rb") as f:
+            yield f
+
+
+def get_bytes(uri: str) -> bytes:
+    with shared_reader(uri) as f:
         return f.read()
 
 
@@ -157,23 +206,25 @@ class Bounded(dict):
         return value
 
 
-def ranked(df: DataFrame, order: list[str], label: str) -> DataFrame:
-    """``df`` with ``rank``: the 0-based place of each row in the total order of ``order``.
+def ranked(df: DataFrame, order: list[str], label: str) -> tuple[DataFrame, str]:
+    """``df`` with the 0-based place of each row in the total order of ``order``, and that column's
+    name: ``rank``, or one like it that ``df`` doesn't have.
 
     Rows are dealt by range and sorted within partitions; a stored copy fixes the partitions and
     one count per partition gives the offsets, so no task sees more than its range. ``order`` should
-    end in columns that tell rows apart, so that a hot leading value is split between ranges.
+    end in columns that tell rows apart, so that a hot leading value is split between ranges. ``df``
+    is read twice (once to find the ranges) and should be a stored table.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    at = F.monotonically_increasing_id()  # partition << 33 | place in the partition
-    kept = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at_", at), label)
-    counts = kept.groupBy(F.shiftright("at_", 33).alias("part_")).agg(F.count(F.lit(1)).alias("n_")).collect()
-    before, rows = 0, []
-    for r in sorted(counts, key=lambda r: r["part_"]):
-        rows.append((r["part_"], before))
-        before += r["n_"]
-    offsets = spark.createDataFrame(rows, "part_ long, before_ long")  # a row a partition: small at any size
-    joined = kept.withColumn("part_", F.shiftright("at_", 33)).join(F.broadcast(offsets), "part_")
-    rank = F.col("before_") + F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))
-    return joined.select(*df.columns, rank.alias("rank"))
+    rank, at, part, before = free_names(df, "rank", "at", "part", "before")
+    place = F.monotonically_increasing_id()  # partition << 33 | place in the partition
+    kept = stored(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(at, place), label)
+    counts = kept.groupBy(F.shiftright(at, 33).alias(part)).agg(F.count(F.lit(1)).alias(before)).collect()
+    n, rows = 0, []
+    for r in sorted(counts, key=lambda r: r[0]):
+        rows.append((r[0], n))
+        n += r[1]
+    offsets = spark.createDataFrame(rows, f"{part} long, {before} long")  # a row a partition: small at any size
+    joined = kept.withColumn(part, F.shiftright(at, 33)).join(F.broadcast(offsets), part)
+    return joined.select(*quoted(df.columns), (F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).alias(rank)), rank

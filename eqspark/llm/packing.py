@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, ranked, stored
+from .common import map_rows, quoted, ranked, stored
 from .word_bpe import word_encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -130,7 +130,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, order: tuple[str, ...] = ("doc
 
     ``pieces`` is read twice and should be a stored table. Only its histogram of lengths, at most
     ``capacity`` rows, comes to the driver. Equal rows get different places. An empty table stays empty.
+    Columns named like the two new ones are replaced; all others pass through.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs, _ = plan(histogram, capacity)
     base, before = {}, 0
@@ -138,7 +140,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, order: tuple[str, ...] = ("doc
         base[length] = before
         before += histogram[length]
     table = np.array(sorted((base[r[0]] + r[1], r[0], *r[3:]) for r in runs) or [(0, 1, 0, 1, 0)], np.int64)
-    rows = ranked(pieces, ["length", *order], "pack")
+    rows, last = ranked(pieces, ["length", *order], "pack")
     names = pieces.columns
 
     def place(batches):
@@ -152,7 +154,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, order: tuple[str, ...] = ("doc
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes)
-    return rows.select(*names, "rank").mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return rows.select(*quoted([*names, last])).mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096) -> DataFrame:

@@ -1,6 +1,7 @@
 """Quality, sharding, media, personal data, near duplicates and language model against plain Python."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from eqspark.llm import hilbert, kneser_ney, minhash_join, mpegts, pii, quality_forest
+from pyspark.sql import functions as F
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -60,10 +62,28 @@ def test_forest_finds_outliers_and_needs_labels(odd, labels):
     assert quality_forest.repeated_words([str(i % 7000).encode() for i in range(7300)], 5) == 600
 
 
-def test_hilbert_curve_is_continuous():
-    cells = np.array([(i, j, k) for i in range(8) for j in range(8) for k in range(8)])
-    index = hilbert.curve_index(cells, 3)
-    assert sorted(index) == list(range(512)) and (np.abs(np.diff(cells[np.argsort(index)], axis=0)).sum(1) == 1).all()
+@pytest.mark.parametrize(("dimensions", "bits"), [(3, 3), (2, 5), (4, 2), (1, 4), (3, 1)])
+def test_hilbert_curve_is_continuous(spark, dimensions, bits):
+    cells = list(itertools.product(range(1 << bits), repeat=dimensions))
+    names = [f"d{i}" for i in range(dimensions)]
+    rows = spark.createDataFrame(cells, ", ".join(f"{n} int" for n in names))
+    found = {tuple(r[:-1]): r[-1] for r in rows.select(*names, hilbert.curve_index([F.col(n) for n in names], bits)).collect()}
+    assert sorted(found.values()) == list(range(1 << dimensions * bits))
+    path = np.array(sorted(cells, key=found.__getitem__))
+    assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
+
+
+def test_names_have_cells_in_their_order(spark):
+    names = [None, "", "a", "é", "z", *(f"n{i:04d}" for i in range(300))]
+    rows = spark.createDataFrame([(n, "x" if n else None) for n in names * 2], "a string, b string")
+    for bits in (2, 6, 9):
+        a, b = hilbert.name_bounds(rows, ["a", "b"], bits)
+        assert len(a) == min(2**bits - 1, 304) and b == ["x"]
+        cells = {r[0]: r[1:] for r in rows.select("a", hilbert.name_cell(F.col("a"), a), hilbert.name_cell(F.col("b"), b)).collect()}
+        order = [cells[n][0] for n in sorted(names, key=lambda n: (n is not None, (n or "").encode()))]
+        assert order == sorted(order) and order[0] == 0 and set(order) == set(range(len(a) + 1)) and {c[1] for n, c in cells.items() if n} == {1}
+        per_cell = Counter(order[1:]).values()
+        assert max(per_cell) - min(per_cell) <= 1
 
 
 @pytest.mark.parametrize("shards", [1, 7, 40, 400])
@@ -86,6 +106,10 @@ def test_shards(odd, docs, shards):
 def test_written_shards_are_whole_with_null_and_repeated_ids(spark, odd, tmp_path):
     ranges = hilbert.write_shards(odd, str(tmp_path / "shards"), 7).collect()
     back = spark.read.parquet(str(tmp_path / "shards"))
+    clash = odd.withColumns({"shard": F.lit("own"), "slot": F.lit(7), "cell": F.lit(1.5)})
+    assert hilbert.write_shards(clash, str(tmp_path / "clash"), 3).agg(F.sum("rows")).first()[0] == odd.count()
+    second = spark.read.parquet(str(tmp_path / "clash"))
+    assert Counter(second.select(*clash.columns).collect()) == Counter(clash.collect()) and {r.shard_ for r in second.collect()} == {0, 1, 2}
     assert Counter(back.select(*odd.columns).collect()) == Counter(odd.collect())
     assert {r.shard: r.rows for r in ranges} == Counter(r.shard for r in back.collect())
 

@@ -1,10 +1,10 @@
 """Exact word-level encoding for a BPE whose pre-tokenizer drops white space.
 
 With such a tokenizer (``word_bpe_49k.json``: NFC, white space to a blank, lower case, split into
-words, digits and marks) no token, and no special string, crosses ASCII white space. A text's ids
-are therefore the ids of its white-space-delimited chunks, one after the other, and a memo over
-chunks replaces most of the work. Chunks of plain Latin letters, digits and ASCII marks are cut
-into words here, and only the library's merging runs on a new word; any other chunk goes through the
+words, digits and marks) no token, and no special string, crosses ASCII white space. Texts of plain
+Latin letters, digits and ASCII marks are cut into words here, by the tokenizer's own split, and only
+the library's merging runs on a new word: a memo over words replaces most of the work. Any other text
+is taken by its white-space-delimited chunks, of which those with other characters go through the
 whole library, so that the result equals the library's for all texts.
 """
 
@@ -17,11 +17,12 @@ import numpy as np
 
 from .common import Bounded
 
-#: Chunks of these characters only are cut here: ASCII marks but for ``<`` (special strings) and
+SPACES = "\t\n\r\x0b\x0c "
+#: Texts of these characters only are cut here, unless ``<|`` (special strings) is in them: ASCII and
 #: letters whose case mapping, class and NFC form are the same in every Unicode version.
-PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-ÿ¡¿]+")
-#: The tokenizer's own split over such chunks, after lower-casing.
-WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+PLAIN = re.compile(rf"[{SPACES}!-~À-ÖØ-öø-ÿ¡¿]*")
+#: The tokenizer's own split over such texts, after lower-casing.
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ{SPACES}]+")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -34,7 +35,7 @@ def byte_alphabet() -> dict[int, str]:
 class WordEncoder:
     """``encode(text)`` gives the ids of a text as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, memo: int = 400_000):
+    def __init__(self, path: str, memo: int = 600_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -43,19 +44,26 @@ class WordEncoder:
         self.merge = self.library.model.tokenize  # the merges alone, of one word of byte stand-ins
         self.alphabet = byte_alphabet()
         self.words = Bounded(self._word, memo)
-        self.chunks = Bounded(self._chunk, memo)
+        self.chunks = Bounded(self._chunk, memo // 6)
 
     def encode(self, text: str | None) -> bytes:
-        data = (text or "").encode()
-        if b"<|" not in data:  # as a special string may stand there, which lower case would alter or make
-            data = data.lower()
-        return b"".join(map(self.chunks.__getitem__, data.split()))
+        text = text or ""
+        if self._plain(text):
+            return self._cut(text)
+        return b"".join(map(self.chunks.__getitem__, text.encode().split()))
+
+    @staticmethod
+    def _plain(text: str) -> bool:
+        return "<|" not in text and PLAIN.fullmatch(text) is not None
+
+    def _cut(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, WORDS.findall(text.lower())))
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
-        if len(chunk) > 256 or not PLAIN.fullmatch(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.words.__getitem__, WORDS.findall(text.lower())))
+        if self._plain(text):
+            return self._cut(text)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
         if not word.isascii():

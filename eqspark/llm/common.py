@@ -151,11 +151,6 @@ def shared_reader(uri: str):
             yield f
 
 
-def get_bytes(uri: str) -> bytes:
-    with shared_reader(uri) as f:
-        return f.read()
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

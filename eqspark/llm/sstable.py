@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, fresh_dir, get_bytes, map_rows, shared_writer, ship
+from .common import arrow_schema, fresh_dir, map_rows, shared_reader, shared_writer, ship
 from .word_bpe import word_encoder
 
 MAGIC = b"EQSSTBL1"
@@ -120,22 +120,31 @@ class Writer:
 
 
 class Reader:
-    """Lookup by binary search over the sparse index, and a scan in key order."""
+    """Lookup by filter and binary search over the sparse index, and a scan in key order.
 
-    def __init__(self, data: bytes):
-        self.data = data
-        at, n, bloom_at, bloom_n, self.entries, self.ids, magic = FOOTER.unpack(data[-FOOTER.size :])
+    ``file`` is open for reading anywhere; footer, index and filter are read at once, blocks when needed.
+    """
+
+    def __init__(self, file):
+        self.file = file
+        end = file.seek(0, 2)
+        index_at, index_n, bloom_at, bloom_n, self.entries, self.ids, magic = FOOTER.unpack(self._bytes(end - FOOTER.size, FOOTER.size))
         if magic != MAGIC:
             raise ValueError("not a table file")
-        self.keys, self.blocks, end = [], [], at + n
-        while at < end:
-            size, at = read_varint(data, at)
-            self.keys.append(data[at : at + size])
-            place, at = read_varint(data, at + size)
-            length, at = read_varint(data, at)
+        index, at = self._bytes(index_at, index_n), 0
+        self.keys, self.blocks = [], []
+        while at < index_n:
+            size, at = read_varint(index, at)
+            self.keys.append(index[at : at + size])
+            place, at = read_varint(index, at + size)
+            length, at = read_varint(index, at)
             self.blocks.append((place, length))
-        self.bits = struct.unpack_from("<Q", data, bloom_at)[0]
-        self.filter = data[bloom_at + 8 : bloom_at + bloom_n]
+        bits = self._bytes(bloom_at, bloom_n)
+        self.bits, self.filter = struct.unpack_from("<Q", bits)[0], bits[8:]
+
+    def _bytes(self, at: int, n: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(n)
 
     def may_hold(self, key: bytes) -> bool:
         a, b = key_hashes(key)
@@ -143,8 +152,7 @@ class Reader:
         return all(self.filter[p >> 3] >> (p & 7) & 1 for p in places)
 
     def block(self, number: int) -> Iterator[tuple[bytes, bytes]]:
-        place, length = self.blocks[number]
-        data, at, key = zstandard.ZstdDecompressor().decompress(self.data[place : place + length]), 0, b""
+        data, at, key = zstandard.ZstdDecompressor().decompress(self._bytes(*self.blocks[number])), 0, b""
         while at < len(data):
             shared, at = read_varint(data, at)
             own, at = read_varint(data, at)
@@ -172,7 +180,7 @@ class Reader:
 
 def write_tables(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Write one table file per key range below ``folder``; return the stored manifest:
-    ``part, path, entries, n_ids, first_key, last_key``, ordered by ``part`` as by key.
+    ``part, path, entries, n_ids, first_key, last_key`` (encoded keys), ordered by ``part`` as by key.
 
     Texts are dealt by ranges of (identifier, text hash), so repeated identifiers don't meet in one
     task, and are encoded where they land. A null text is the empty text (only the end id). Ties
@@ -184,7 +192,7 @@ def write_tables(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     dealt = rows.repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie", "text")
-    schema = "part int, path string, entries long, n_ids long, first_key long, last_key long"
+    schema = "part int, path string, entries long, n_ids long, first_key binary, last_key binary"
     arrow = arrow_schema(schema)
     tail = b"" if end_id is None else struct.pack("<I", end_id)
 
@@ -198,11 +206,13 @@ def write_tables(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
         with shared_writer(path) as out:
             writer = Writer(out)
             while batch is not None:
-                for i, text in zip(batch.column(0), batch.column(1), strict=True):
-                    key = i.as_py()
-                    if not writer.entries:
-                        first = key
-                    writer.add(encode_key(key), encode(text.as_py()) + tail)
+                for at in range(0, batch.num_rows, 1024):
+                    part_of = batch.slice(at, 1024)
+                    for i, text in zip(part_of.column(0).to_pylist(), part_of.column(1).to_pylist(), strict=True):
+                        key = encode_key(i)
+                        if not writer.entries:
+                            first = key
+                        writer.add(key, encode(text) + tail)
                 batch = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "entries": [writer.entries], "n_ids": [writer.ids], "first_key": [first], "last_key": [key]}, schema=arrow)
@@ -228,12 +238,13 @@ def scan_tables(manifest: DataFrame) -> DataFrame:
         def work(columns):
             ids, starts, sizes, sums = [], [], [], []
             for path, start in zip(*columns, strict=True):
-                for key, value in Reader(get_bytes(path)):
-                    ids.append(decode_key(key))
-                    starts.append(start)
-                    sizes.append(len(value) // 4)
-                    sums.append(zlib.crc32(value))
-                    start += len(value) // 4
+                with shared_reader(path) as file:
+                    for key, value in Reader(file):
+                        ids.append(decode_key(key))
+                        starts.append(start)
+                        sizes.append(len(value) // 4)
+                        sums.append(zlib.crc32(value))
+                        start += len(value) // 4
             return {"doc_id": ids, "start": starts, "n_tokens": sizes, "ids_crc32": sums}
 
         return work
@@ -241,10 +252,14 @@ def scan_tables(manifest: DataFrame) -> DataFrame:
     return map_rows(frame, make, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def lookup(spark: SparkSession, manifest: DataFrame, identifier: int) -> list[bytes]:
-    """Values of one identifier: files by key range, then filter and index of each."""
-    holds = manifest.where((F.col("first_key") <= identifier) & (F.col("last_key") >= identifier))
-    return [v for r in holds.orderBy("part").collect() for v in Reader(get_bytes(r["path"])).get(identifier)]
+def lookup(spark: SparkSession, manifest: DataFrame, identifier: int | None) -> list[bytes]:
+    """Values of one identifier (null has its own key): files by key range, then filter, index and
+    the blocks that may hold it; nothing else of a file is read. Several where rows repeat it."""
+    key, found = F.lit(encode_key(identifier)), []
+    for r in manifest.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).orderBy("part").collect():
+        with shared_reader(r["path"]) as file:
+            found += Reader(file).get(identifier)
+    return found
 
 
 def tables_of(docs: DataFrame, tokenizer: str) -> DataFrame:

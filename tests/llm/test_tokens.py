@@ -73,6 +73,15 @@ def test_token_tables(spark, odd, docs, word):
     assert sstable.lookup(spark, manifest, 10**12) == []
 
 
+def test_lookup_of_null_repeated_and_negative_identifiers(spark, word):
+    rows = [(None, "none"), (None, "other"), (1, "a"), (-5, "b c"), (1, None), (2**62, "d"), (1, "a")]
+    for table in (rows, [(None, "none")], rows[2:3]):
+        made = spark.createDataFrame(table, "doc_id long, text string").repartition(2)
+        manifest = sstable.write_tables(made, fresh_dir(spark, "t"), WORD)
+        for i in (None, 1, -5, 2**62, 7, 0):
+            assert sorted(sstable.lookup(spark, manifest, i)) == sorted(le(word(t)) for k, t in table if k == i)
+
+
 def test_table_file_layout():
     import io
 
@@ -82,7 +91,7 @@ def test_table_file_layout():
     for k, v in items:
         writer.add(sstable.encode_key(k), v)
     writer.close()
-    reader = sstable.Reader(out.getvalue())
+    reader = sstable.Reader(out)
     assert [(sstable.decode_key(k), v) for k, v in reader] == items and len(reader.blocks) > 20
     for i in range(-310, 310):
         assert reader.get(i) == [v for k, v in items if k == i]

@@ -112,10 +112,50 @@ def test_automaton_equals_library(odd, docs):
 def test_automaton_on_random_words():
     own, library, r = bpe_automaton.AutomatonTokenizer(BYTE), Tokenizer.from_file(BYTE), random.Random(2)
     for _ in range(3000):
-        t = "".join(r.choice(["a", "b", " ", "the", "in", "ing", "er", "ss", "-", "==", "\n", "é", "日"]) for _ in range(r.randint(0, 24)))
+        t = "".join(r.choice(["a", "b", " ", "the", "in", "ing", "er", "ss", "-", "==", "\n", "\r", "\t", "'s", "'ll", "'", "É", "7", "¿", "é", "日"][: r.choice([20, 21])]) for _ in range(r.randint(0, 24)))
         assert own.encode(t) == le(library.encode(t, add_special_tokens=False).ids), t
 
 
+def merged(word, merges):
+    """Plain byte-pair encoding: the earliest merge everywhere, from the left, again and again."""
+    parts = [bytes([b]) for b in word]
+    while True:
+        found = [merges.index(p) for p in zip(parts, parts[1:]) if p in merges]
+        if not found:
+            return parts
+        (a, b), out, i = merges[min(found)], [], 0
+        while i < len(parts):
+            two = parts[i : i + 2] == [a, b]
+            out.append(a + b if two else parts[i])
+            i += 1 + two
+        parts = out
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_automaton_equals_plain_merging(seed):
+    r, letters = random.Random(seed), [bytes([c]) for c in b"abcd"[: 1 + seed % 4]]
+    parts, merges = list(letters), []
+    for _ in range(r.randint(0, 40)):
+        a, b = r.choice(parts), r.choice(parts)
+        if a + b not in parts and len(a + b) < 12:
+            merges.append((a, b))
+            parts.append(a + b)
+    numbers = list(range(3 * len(parts)))
+    r.shuffle(numbers)
+    labels = dict(zip(parts, numbers))
+    own = bpe_automaton.MergeAutomaton(labels, bpe_automaton.compile_automaton(labels, merges))
+    for _ in range(300):
+        word = b"".join(r.choices(letters, k=r.randint(0, 25)))
+        assert own.encode(word) == [labels[p] for p in merged(word, merges)]
+        assert own.decode(own.encode(word)) == word
+
+
+def test_automaton_needs_one_merge_a_token():
+    labels = {b"a": 0, b"b": 1, b"ab": 2, b"ba": 3, b"aba": 4}
+    with pytest.raises(ValueError):
+        bpe_automaton.compile_automaton(labels, [(b"a", b"b"), (b"b", b"a"), (b"ab", b"a"), (b"a", b"ba")])
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_plan_is_whole(seed):
     r = random.Random(seed)

@@ -6,19 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .text import has, let
 
 
 def sort_key(number: Column) -> Column:
-    """Order of labels: ``major.minor`` and plain numbers, then those with a letter in front, then the rest."""
-    decimal = r"(?U)\A(\d+)\.(\d+)\z"
-    general = r"(?Ud)\A([A-Za-z]?)(\d+)(.*)\z"
-    minor = F.regexp_extract(number, decimal, 2)
-    padded = F.when(F.length(minor) < 6, F.lpad(minor, 6, "0")).otherwise(minor)
-    digits = F.regexp_extract(number, general, 2)
-    rank = F.when(number.rlike(decimal), 0).when(number.rlike(general), F.when(F.regexp_extract(number, general, 1) == "", 0).otherwise(1)).otherwise(2)
-    value = F.when(number.rlike(decimal), F.regexp_extract(number, decimal, 1)).when(number.rlike(general), digits).otherwise("1000000000")
-    rest = F.when(number.rlike(decimal), padded).when(number.rlike(general), F.regexp_extract(number, general, 3)).otherwise(number)
-    return F.struct(rank.alias("rank"), value.cast("decimal(38,0)").alias("value"), rest.alias("rest"))
+    """Order of labels: ``major.minor`` and plain numbers, then those with a letter in front, then the rest.
+
+    Numbers of any length are ordered by their digits without leading zeros: first by how many there are.
+    """
+    decimal, general = r"(?U)\A(\d+)\.(\d+)\z", r"(?Ud)\A([A-Za-z]?)(\d+)(.*)"
+    plain = lambda digits: F.regexp_replace(digits, r"\A0+", "")
+
+    def key(rank, digits: Column, rest: Column) -> Column:
+        return let(plain(digits), lambda d: F.struct(F.lit(rank).cast("int").alias("rank"), F.length(d).alias("size"), d.alias("digits"), rest.alias("rest")))
+
+    def keyed(n: Column) -> Column:
+        minor = let(plain(F.regexp_extract(n, decimal, 2)), lambda m: F.when(F.length(m) < 6, F.lpad(m, 6, "0")).otherwise(m))
+        with_minor = key(0, F.regexp_extract(n, decimal, 1), minor)
+        letter = F.when(F.regexp_extract(n, general, 1) == "", 0).otherwise(1)
+        return F.when(n.rlike(decimal), with_minor).when(n.rlike(general), key(letter, F.regexp_extract(n, general, 2), F.regexp_extract(n, general, 3))).otherwise(key(2, F.lit(""), n))
+
+    return let(number, keyed)
 
 
 def is_main(number: Column) -> Column:
@@ -49,7 +57,7 @@ def quality_warnings(source: Column, latex: Column, raw: Column) -> Column:
         (page_text, "pymupdf_text_is_recall_signal_not_trusted_latex"),
         (latex.rlike(P.CONTAMINATION), "possible_prose_contamination"),
         (latex.rlike(P.DEGRADATION), "possible_pdf_text_degradation"),
-        (F.contains(raw, F.lit("\\begin{array}")) | raw.rlike(P.ARRAY_HEAD), "needs_artifact_cleanup"),
+        (has(raw, "\\begin{array}") | raw.rlike(P.ARRAY_HEAD), "needs_artifact_cleanup"),
         (raw != latex, "normalized_from_raw"),
     )
 
@@ -57,8 +65,8 @@ def quality_warnings(source: Column, latex: Column, raw: Column) -> Column:
 def label_warnings(number: Column) -> Column:
     return _listed(
         (number == "0", "suspicious_zero_equation_label"),
-        (number.rlike(r"(?U)\A[A-Za-z]\d+"), "appendix_or_supplement_label"),
-        (number.rlike(r"(?U)\A\d+[A-Za-z]+"), "suspicious_alphanumeric_equation_label"),
+        (number.rlike(P.LABEL_WITH_LETTER), "appendix_or_supplement_label"),
+        (number.rlike(P.LABEL_WITH_LETTERS_BEHIND), "suspicious_alphanumeric_equation_label"),
     )
 
 

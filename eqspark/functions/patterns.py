@@ -1,10 +1,12 @@
-"""Patterns, word lists and tables of the extraction rules, in Java's regular-expression dialect.
+"""Patterns, word lists, tables and names of the extraction rules, in Java's regular-expression dialect.
 
 ``(?U)`` makes classes Unicode-aware and ``(?d)`` leaves line feed as the only line end; white space
 also has the separators U+001C to U+001F, which Java's class lacks.
 """
 
-S = r"[\s\x1c-\x1f]"
+#: All white space; the blank comes first.
+SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+S = f"[{SPACES}]"
 
 # They must be these for right results.
 LABEL = rf"[A-Za-z]?{S}*\d+(?:\.\d+)?{S}*[a-z]?"
@@ -44,6 +46,28 @@ GLYPHS = (
     ("·", r"\cdot"), ("√", r"\sqrt"), ("Σ", r"\sum"), ("∑", r"\sum"), ("ˆ", r"\hat "), ("˙", r"\dot "), ("∂", r"\partial "), ("∇", r"\nabla "),
     ("≤", r"\le "), ("≥", r"\ge "), ("≠", r"\ne "), ("≈", r"\approx "), ("∞", r"\infty "),
 )
+#: Cleaning rules of the reported form, in this order: pattern, replacement, whether white space goes from the ends after it.
+OUTPUT_RULES = (
+    (rf"^\\begin\{{array\}}{S}*\{{[^{{}}]*\}}{S}*(.*?){S}*\\end\{{array\}}$", "$1", True),
+    (rf"^\{{{S}*(?:[A-Za-z]{S}+){{1,}}[A-Za-z]{S}*\}}{S}*&{S}*", "", True),
+    (rf"\\mathbf{S}*\{{{S}*i{S}*\}}", r"\\mathrm{i}", False),
+    (rf"\\mathbf{S}+i\b", r"\\mathrm{i}", False),
+    (rf"(?:\\quad|\\qquad|\\,|\;|\\:|{S})+$", "", True),
+    (rf"(?:\\{S}*){{2,}}$", "", True),
+    (rf"(?<!\\)[,.]{S}*$", "", True),
+    (rf"\\frac{S}*\{{{S}*([^{{}}]+?){S}*\}}{S}*\{{{S}*([^{{}}]+?){S}*\}}", r"\\frac{$1}{$2}", False),
+    (rf"\{{{S}+\}}", "{}", False),
+    (rf"\{{{S}*([^{{}}]+?){S}*\}}", "{$1}", False),
+    (rf"_{S}*\{{{S}*([^{{}}]+?){S}*\}}", "_{$1}", False),
+    (rf"\^{S}*\{{{S}*([^{{}}]+?){S}*\}}", "^{$1}", False),
+    (rf"{S}+([_^])", "$1", False),
+    (rf"([_^]){S}+", "$1", False),
+    (rf"\\([A-Za-z]+){S}+(?=\{{)", r"\\$1", False),
+    (rf"{S}+", " ", True),
+    (rf"(?:\\quad|\\qquad|\\,|\;|\\:|\\{S}*)+$", "", True),
+)
+LABEL_WITH_LETTER, LABEL_WITH_LETTERS_BEHIND = r"(?U)\A[A-Za-z]\d+", r"(?U)\A\d+[A-Za-z]+"
+CLOSING = r"(\$\$|\\\]|```)\z"
 MATH_BLOCK, NUMBERED_LINE, NEIGHBOR = "docling_markdown_math_block", "docling_markdown_numbered_line", "docling_markdown_neighbor_reference"
 PAGE_TEXT, PAGE_RETRY = "pymupdf_text_fallback", "docling_page_retry_math_block"
 ALTERNATIVE = {MATH_BLOCK: "pix2text_markdown_math_block", NUMBERED_LINE: "pix2text_markdown_numbered_line", NEIGHBOR: "pix2text_markdown_neighbor_reference"}

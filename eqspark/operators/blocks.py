@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.text import lines, strip, without_space
+from ..functions.text import has, let, lines, strip, without_space
 
 
 def with_lines(docs: DataFrame) -> DataFrame:
@@ -57,9 +57,9 @@ def context(stripped: Column, start: Column, end: Column, radius: int = P.CONTEX
 
 def line_reference(t: Column) -> Column:
     """The label that a line of prose refers to, if it refers to exactly one."""
-    prose, decimal = F.regexp_extract_all(t, F.lit(P.PROSE_REFERENCE), 1), F.regexp_extract_all(t, F.lit(P.DECIMAL_REFERENCE), 1)
-    found = F.when(F.size(prose) == 1, prose[0]).when(F.size(decimal) == 1, decimal[0])
-    return F.when((t != "") & ~t.startswith("$$"), without_space(found))
+    only = lambda pattern, other: let(F.regexp_extract_all(t, F.lit(pattern), 1), lambda f: F.when(F.size(f) == 1, f[0]).otherwise(other))
+    decimal = F.when(has(t, "(", "."), only(P.DECIMAL_REFERENCE, F.lit(None).cast("string")))
+    return F.when((t != "") & ~t.startswith("$$"), without_space(F.when(t.rlike("[Ee]q"), only(P.PROSE_REFERENCE, decimal)).otherwise(decimal)))
 
 
 def nearest_reference(stripped: Column, start: Column, end: Column, radius: int = P.REFERENCE_RADIUS) -> Column:
@@ -70,17 +70,22 @@ def nearest_reference(stripped: Column, start: Column, end: Column, radius: int
     return F.get(F.filter(F.transform(F.concat(behind, before), line_reference), lambda r: r.isNotNull()), F.lit(0))
 
 
+def with_bounds(docs: DataFrame) -> DataFrame:
+    return with_lines(docs).withColumn("bounds", block_bounds(F.col("stripped")))
+
+
+def block_raw(lines_: Column, b: Column) -> Column:
+    return F.array_join(F.slice(lines_, b["start"] + 1, b["end"] - b["start"] + 1), "\n")
+
+
 def blocks(docs: DataFrame) -> DataFrame:
-    """A row per block: its bounds, text, neighbouring lines, context and nearest reference."""
-    rows = with_lines(docs).withColumn("bounds", block_bounds(F.col("stripped")))
+    """A row per block: its bounds, text, context and nearest reference."""
 
     def described(b: Column) -> Column:
-        s, e, text, stripped = b["start"], b["end"], F.col("lines"), F.col("stripped")
+        stripped = F.col("stripped")
         return F.struct(
-            s.alias("start"), e.alias("end"), F.array_join(F.slice(text, s + 1, e - s + 1), "\n").alias("raw"), ((e > s) | ~ends(F.get(stripped, s))).alias("multi"),
-            F.get(text, e + 1).alias("after"), F.when(s > 0, F.get(text, s - 1)).alias("before"), context(stripped, s, e).alias("context"), nearest_reference(stripped, s, e).alias("reference"),
+            b["start"].alias("start"), b["end"].alias("end"), block_raw(F.col("lines"), b).alias("raw"),
+            context(stripped, b["start"], b["end"]).alias("context"), nearest_reference(stripped, b["start"], b["end"]).alias("reference"),
         )
 
-    return rows.select("doc_id", F.posexplode(F.transform("bounds", described)).alias("emit_ord", "b")).select("doc_id", "emit_ord", "b.*")
-
-
+    return with_bounds(docs).select("doc_id", F.transform("bounds", described).alias("b")).select("doc_id", F.posexplode("b").alias("emit_ord", "b")).select("doc_id", "emit_ord", "b.*")

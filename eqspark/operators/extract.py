@@ -2,67 +2,131 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import patterns as P
 from ..functions.latex import glyphs_to_latex, normalize_latex, number_of, output_form, strip_number
-from ..functions.text import strip
-from .blocks import blocks, context, with_lines
+from ..functions.text import has, strip
+from .blocks import block_raw, context, ends, nearest_reference, with_bounds
 
 COLUMNS = ("doc_id", "number", "latex", "raw_latex", "source", "confidence", "warnings", "line_start", "line_end", "context", "source_location", "src_rank", "emit_ord")
 
 
-def _candidates(rows: DataFrame, source: str, rank: int, location: Column, more: Column | None = None) -> DataFrame:
-    """``rows`` with ``doc_id, number, latex, raw_latex, line_start, line_end, context, emit_ord``, in the common shape."""
+def _described(source: str, rank: int, location: Column, c) -> dict[str, Column]:
+    """What follows from a candidate's own columns, ``c`` by name."""
     name = F.lit(source)
-    warnings = L.quality_warnings(name, F.col("latex"), F.col("raw_latex"))
-    warnings = warnings if more is None else F.concat(warnings, more)
-    described = {"source": name, "confidence": L.confidence(name), "warnings": warnings, "source_location": location, "src_rank": F.lit(rank)}
-    return rows.select(*[(described[c].alias(c) if c in described else F.col(c)) for c in COLUMNS])
+    return {"source": name, "confidence": L.confidence(name), "warnings": L.quality_warnings(name, c("latex"), c("raw_latex")), "source_location": location, "src_rank": F.lit(rank)}
 
 
-def _lines(start: Column, end: Column) -> Column:
-    return F.format_string("Docling Markdown lines %d-%d", start, end)
+def _structs(found: Column, source: str, rank: int, location) -> Column:
+    """An array of candidates in the common shape."""
 
+    def one(x: Column) -> Column:
+        own = _described(source, rank, location(x), lambda n: x[n])
+        return F.struct(*[(own[c] if c in own else x[c]).alias(c) for c in COLUMNS[1:]])
 
-def math_blocks(docs: DataFrame) -> DataFrame:
+    return F.transform(found, one)
+
+
+def _fields(x: Column, *kept: str, **new: Column) -> Column:
+    return F.struct(*[x[c].alias(c) for c in kept], *[v.alias(k) for k, v in new.items()])
+
+
+def _lines(x: Column) -> Column:
+    return F.concat(F.lit("Docling Markdown lines "), x["line_start"].cast("string"), F.lit("-"), x["line_end"].cast("string"))
+
+
+# Arrays of structs grow by steps, each in a projection of its own: every field is computed once, and
+# what is dropped between steps is not computed further.
+_PLACE = ("line_start", "line_end", "context", "emit_ord")
+
+
+def _with_blocks(docs: DataFrame) -> DataFrame:
+    """``blocks``: each one's text and own label; for those without one, the label of a neighbouring line
+    (where the block has several lines) and the nearest reference."""
+    lines_, stripped = F.col("lines"), F.col("stripped")
+
+    def near(b: Column) -> Column:
+        s, e = b["line_start"] - 1, b["line_end"] - 1
+        multi = (e > s) | ~ends(F.get(stripped, s))
+        label = F.coalesce(number_of(F.get(lines_, e + 1)), F.when(s > 0, number_of(F.get(lines_, s - 1))))
+        reference = F.when(b["own"].isNull(), nearest_reference(stripped, s, e))
+        return _fields(b, "raw", "own", "line_start", "line_end", "emit_ord", context=context(stripped, s, e), number=F.coalesce(b["own"], F.when(multi, label)), reference=reference)
+
+    rows = with_bounds(docs)
+    rows = rows.withColumn("blocks", F.transform("bounds", lambda b, i: F.struct((b["start"] + 1).alias("line_start"), (b["end"] + 1).alias("line_end"), i.alias("emit_ord"), block_raw(lines_, b).alias("raw"))))
+    rows = rows.withColumn("blocks", F.transform("blocks", lambda b: _fields(b, "raw", "line_start", "line_end", "emit_ord", own=number_of(b["raw"], embedded=True))))
+    return rows.withColumn("blocks", F.transform("blocks", near)).select("doc_id", "stripped", "blocks")
+
+
+def _formed(rows: DataFrame, name: str, raw_latex) -> DataFrame:
+    """The array ``name`` with ``raw_latex`` and ``latex``."""
+    rows = rows.withColumn(name, F.transform(name, lambda x: _fields(x, "number", *_PLACE, raw_latex=raw_latex(x))))
+    return rows.withColumn(name, F.transform(name, lambda x: _fields(x, "number", "raw_latex", *_PLACE, latex=output_form(x["raw_latex"]))))
+
+
+def _math_blocks(rows: DataFrame) -> DataFrame:
     """Blocks with a label of their own or, over several lines, on the line behind or before."""
-    b = blocks(docs)
-    own = number_of(F.col("raw"), embedded=True)
-    near = F.when(F.col("multi"), F.coalesce(number_of(F.col("after")), number_of(F.col("before"))))
-    b = b.withColumn("number", F.coalesce(own, near)).where("number is not null")
-    b = b.withColumn("raw_latex", strip_number(normalize_latex(F.col("raw")), F.col("number")))
-    b = b.withColumn("latex", output_form(F.col("raw_latex"))).where("latex <> ''")
-    b = b.withColumns({"line_start": F.col("start") + 1, "line_end": F.col("end") + 1})
-    return _candidates(b, P.MATH_BLOCK, 0, _lines(F.col("line_start"), F.col("line_end")))
+    rows = rows.withColumn("math", F.filter("blocks", lambda b: b["number"].isNotNull()))
+    rows = _formed(rows, "math", lambda b: strip_number(normalize_latex(b["raw"]), b["number"]))
+    return rows.withColumn("math", _structs(F.filter("math", lambda x: x["latex"] != ""), P.MATH_BLOCK, 0, _lines))
 
 
-def numbered_lines(docs: DataFrame) -> DataFrame:
+def _numbered_lines(rows: DataFrame) -> DataFrame:
     """Lines with a trailing label or a tag; a line without signs of mathematics takes the line before it."""
-    rows = with_lines(docs)
-    short = F.transform("stripped", lambda t, i: F.struct(i.alias("index"), t.alias("text"), F.when(i > 0, F.get(F.col("stripped"), i - 1)).alias("previous")))
-    short = F.filter(short, lambda x: (F.length(x["text"]) <= P.LINE_LIMIT) & (x["text"].rlike(P.TAG) | F.contains(x["text"], F.lit(")"))))
-    described = F.transform(short, lambda x: F.struct(x["index"], x["text"], x["previous"], context(F.col("stripped"), x["index"] - 1, x["index"]).alias("wide"), context(F.col("stripped"), x["index"], x["index"]).alias("near")))
-    rows = rows.select("doc_id", F.explode(described).alias("x")).select("doc_id", "x.*")
-    rows = rows.withColumn("number", number_of(F.col("text"))).where("number is not null")
-    rows = rows.withColumn("own", strip_number(F.col("text"), F.col("number")))
-    back = ~F.col("own").rlike(P.MATH_SIGNAL) & F.coalesce(F.col("previous").rlike(P.MATH_SIGNAL), F.lit(False))
-    rows = rows.withColumn("back", back).withColumn("equation", F.when(F.col("back"), F.col("previous")).otherwise(F.col("own"))).where(F.col("equation").rlike(P.MATH_SIGNAL))
-    rows = rows.withColumn("raw_latex", normalize_latex(F.col("equation"))).withColumn("latex", output_form(F.col("raw_latex")))
-    rows = rows.withColumns({"line_end": F.col("index") + 1, "line_start": F.col("index") + 1 - F.col("back").cast("int"), "context": F.when(F.col("back"), F.col("wide")).otherwise(F.col("near")), "emit_ord": F.col("index")})
-    return _candidates(rows, P.NUMBERED_LINE, 1, _lines(F.col("line_start"), F.col("line_end")))
+    stripped = F.col("stripped")
+    able = lambda t: (F.length(t) <= P.LINE_LIMIT) & (has(t, ")") | has(t, "\\tag{"))
 
+    def own(x: Column) -> Column:
+        return _fields(x, "index", "number", own=strip_number(x["text"], x["number"]), previous=F.when(x["index"] > 0, F.get(stripped, x["index"] - 1)))
 
-def neighbor_references(docs: DataFrame) -> DataFrame:
+    def paired(x: Column) -> Column:
+        back = ~x["own"].rlike(P.MATH_SIGNAL) & F.coalesce(x["previous"].rlike(P.MATH_SIGNAL), F.lit(False))
+        return _fields(x, "index", "number", "own", "previous", back=back)
+
+    def placed(x: Column) -> Column:
+        first = x["index"] - x["back"].cast("int")
+        equation = F.when(x["back"], x["previous"]).otherwise(x["own"])
+        return _fields(x, "number", equation=equation, line_start=first + 1, line_end=x["index"] + 1, context=context(stripped, first, x["index"]), emit_ord=x["index"])
+
+    rows = rows.withColumn("numbered", F.transform("stripped", lambda t, i: F.struct(i.alias("index"), t.alias("text"), F.when(able(t), number_of(t)).alias("number"))))
+    rows = rows.withColumn("numbered", F.transform(F.filter("numbered", lambda x: x["number"].isNotNull()), own))
+    rows = rows.withColumn("numbered", F.transform(F.transform("numbered", paired), placed))
+    rows = rows.withColumn("numbered", F.filter("numbered", lambda x: x["equation"].rlike(P.MATH_SIGNAL)))
+    return _formed(rows, "numbered", lambda x: normalize_latex(x["equation"])).withColumn("numbered", _structs(F.col("numbered"), P.NUMBERED_LINE, 1, _lines))
+
+
+def _neighbor_references(rows: DataFrame) -> DataFrame:
     """Blocks without a label that a nearby line of prose refers to."""
-    b = blocks(docs).where(F.col("reference").isNotNull())
-    b = b.withColumn("own", number_of(F.col("raw"), embedded=True)).where("own is null")
-    b = b.withColumn("raw_latex", normalize_latex(F.col("raw"))).where(F.col("raw_latex").rlike(P.MATH_SIGNAL))
-    b = b.withColumns({"latex": output_form(F.col("raw_latex")), "number": F.col("reference"), "line_start": F.col("start") + 1, "line_end": F.col("end") + 1})
-    location = F.concat(_lines(F.col("line_start"), F.col("line_end")), F.lit("; label inferred from nearby Eq. "), F.col("number"), F.lit(" reference"))
-    return _candidates(b, P.NEIGHBOR, 2, location)
+    found = F.filter("blocks", lambda b: b["own"].isNull() & b["reference"].isNotNull())
+    rows = rows.withColumn("near", F.transform(found, lambda b: _fields(b, *_PLACE, number=b["reference"], raw=normalize_latex(b["raw"]))))
+    rows = _formed(rows.withColumn("near", F.filter("near", lambda b: b["raw"].rlike(P.MATH_SIGNAL))), "near", lambda b: b["raw"])
+    location = lambda x: F.concat(_lines(x), F.lit("; label inferred from nearby Eq. "), x["number"], F.lit(" reference"))
+    return rows.withColumn("near", _structs(F.col("near"), P.NEIGHBOR, 2, location))
+
+
+def _exploded(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select("doc_id", F.explode(name).alias("c")).select("doc_id", "c.*")
+
+
+def math_blocks(docs: DataFrame) -> DataFrame:
+    return _exploded(_math_blocks(_with_blocks(docs)), "math")
+
+
+def numbered_lines(docs: DataFrame) -> DataFrame:
+    return _exploded(_numbered_lines(with_bounds(docs).select("doc_id", "stripped")), "numbered")
+
+
+def neighbor_references(docs: DataFrame) -> DataFrame:
+    return _exploded(_neighbor_references(_with_blocks(docs)), "near")
+
+
+def markdown_candidates(docs: DataFrame) -> DataFrame:
+    """``doc_id, candidates``: a row per document with what the three Markdown extractors find, in their order.
+    Lines and blocks are made once; no shuffle is needed."""
+    return _neighbor_references(_numbered_lines(_math_blocks(_with_blocks(docs)))).select("doc_id", F.concat("math", "numbered", "near").alias("candidates"))
 
 
 def page_rows(page_lines: DataFrame) -> DataFrame:
@@ -123,12 +187,12 @@ def page_text(page_lines: DataFrame, limit: int = P.EQUATIONS_A_DOCUMENT, strict
     label = F.concat(F.lit(rf"(?Ud)\({P.S}*\Q"), F.col("number"), F.lit(rf"\E{P.S}*\){P.S}*$"))
     rows = rows.withColumn("text", strip(F.regexp_replace(F.col("collected"), label, F.lit(""))))
     rows = rows.withColumn("raw_latex", glyphs_to_latex(F.col("text"))).withColumn("latex", output_form(F.col("raw_latex"))).where("latex <> ''")
-    from pyspark.sql import Window
-
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("emit_ord"))
     rows = rows.withColumn("nth", nth).where(F.col("nth") <= max(limit, 1))
     location = F.format_string("PDF page %d, text lines %d-%d", F.col("page"), F.col("first_line"), F.col("last_line"))
-    return _candidates(rows, P.PAGE_TEXT, 3, location, L.page_text_warnings(F.col("text")))
+    own = _described(P.PAGE_TEXT, 3, location, F.col)
+    own["warnings"] = F.concat(own["warnings"], L.page_text_warnings(F.col("text")))
+    return rows.select(*[(own[c] if c in own else F.col(c)).alias(c) for c in COLUMNS])
 
 
 def with_source(candidates: DataFrame, source: Column, prefix: str) -> DataFrame:

@@ -137,7 +137,7 @@ def page_rows(page_lines: DataFrame) -> DataFrame:
         "global_line", t.alias("text"), "page", "page_line", L.is_page_fragment(t).alias("fragment"), L.is_page_continuation(t).alias("goes_on"),
         t.rlike(P.PAGE_TRAILING_LABEL).alias("labelled"), label["number"].alias("number"), label["alone"].alias("alone"),
     )
-    return page_lines.select("doc_id", one.alias("l")).groupBy("doc_id").agg(F.array_sort(F.collect_list("l")).alias("l"))
+    return page_lines.where(F.col("text").isNotNull()).select("doc_id", one.alias("l")).groupBy("doc_id").agg(F.array_sort(F.collect_list("l")).alias("l"))
 
 
 def _window(all_lines: Column, i: Column) -> Column:

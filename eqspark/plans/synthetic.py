@@ -27,3 +27,5 @@ LINE = f"""CASE (o_orderkey * 7 + i * 5 + (o_orderkey % 3) * i) % 18
  WHEN 16 THEN concat('  ', {B}, '[ u + v = w ( ', o_orderkey % 5 + 1, '.', i + 1, ' ) ', {B}, ']  ')
  ELSE '```' END""".replace(f"k {B}quad", f"k ', {B}, 'quad")
 LINES_DUCK = f"(SELECT o_orderkey AS doc_id, i AS line_no, {LINE} AS text FROM (SELECT o_orderkey, unnest(range(0, 12)) AS i FROM orders))"
+#: A real document's text with equations behind it.
+REAL_TEXT = f"""concat(text, chr(10), '$$v _ {{ ', doc_id % 5, ' }} = ', n_chars, ' ', {B}, 'quad ( ', doc_id % 9 + 1, ' )$$', chr(10), 'as Eq. (', doc_id % 7 + 10, ') says of ', lang, chr(10), '$$w = 2 ^ {{ ', doc_id % 3, ' }}$$', chr(10), 'E = m ( A', doc_id % 4, ')')"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.report import dataset
 from ..operators.resolve import extract_equations
-from ..sources.sinks import write_upsert
+from ..sources.sinks import append_version, last_of_each
 
 
 def stream_markdown(spark: SparkSession, path: str) -> DataFrame:
@@ -16,9 +16,14 @@ def stream_markdown(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start(spark: SparkSession, source: str, target: str, checkpoint: str, limit: int = 200, **trigger):
-    """A query that keeps ``target`` up to date; a batch that is run again writes the same rows."""
+    """A query that keeps ``target`` up to date, to be read with ``sinks.newest``.
 
-    def batch(docs: DataFrame, _: int) -> None:
-        write_upsert(dataset(extract_equations(docs, limit)), target)
+    Each batch adds its own documents' entries, also those without equations, which take the place of
+    what an earlier text gave; a batch that is run again writes the same rows.
+    """
+
+    def batch(docs: DataFrame, number: int) -> None:
+        docs = last_of_each(docs, "doc_id")
+        append_version(dataset(extract_equations(docs, limit), docs), target, number)
 
     return stream_markdown(spark, source).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

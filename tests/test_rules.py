@@ -11,6 +11,7 @@ from eqspark.operators import blocks as B
 from eqspark.operators import extract as E
 from eqspark.operators import report as R
 from eqspark.operators import resolve as V
+from eqspark.operators import whole as W
 from eqspark.sources import readers, sinks
 from pyspark.sql import functions as F
 
@@ -102,7 +103,9 @@ def test_extraction_of_a_document(spark):
     d = report["d"]
     assert d.equation_labels == ["1", "3", "7", "2019", "A4"] and d.confidence_counts == {"high": 2, "medium": 3} and sum(d.source_counts.values()) == 5
     assert not set(d.clean_labels) & set(d.needs_review) and d.suspicious_labels == ["A4"]
-    entry = {r.doc_id: r.equations for r in R.dataset(V.extract_equations(docs)).collect()}["d"]
+    entries = {r.doc_id: r.equations for r in R.dataset(V.extract_equations(docs), docs).collect()}
+    assert set(entries) == {"d", "none", "null"} and entries["none"] == entries["null"] == {}
+    entry = entries["d"]
     assert all(len(e["relations"]) == 4 for e in entry.values()) and entry["3"]["audit-trail"]["extract_enumerated_equations"].startswith("Selected equation 2/5")
     for column in ("confidence", "source"):
         counted = {(r.doc_id, r[column]): r.n for r in R.counts(V.extract_equations(docs), column).collect()}
@@ -151,17 +154,107 @@ def test_sources_and_sinks(spark, tmp_path):
     for name in ("b", "a"):
         (tmp_path / "md" / f"{name}.md").write_text(f"text {name}", encoding="utf-8")
     assert {(r.doc_id, r.markdown_chars) for r in readers.markdown(spark, str(tmp_path / "md")).collect()} == {("a", 6), ("b", 6)}
-    assert readers.joined_markdown(spark, str(tmp_path / "md")).first()[0] == "text a\n\ntext b"
+    (tmp_path / "md" / "one" / "deep").mkdir(parents=True)
+    for name in ("one/2", "one/deep/1", "one/1"):
+        (tmp_path / "md" / f"{name}.md").write_text(name, encoding="utf-8")
+    assert dict(map(tuple, readers.joined_markdown(spark, str(tmp_path / "md")).collect())) == {"": "text a\n\ntext b", "one": "one/1\n\none/2\n\none/deep/1"}
     (tmp_path / "x.pdf").write_bytes(b"junk %PDF-1.4")
     assert [(r.doc_id, r.is_pdf) for r in readers.pdfs(spark, str(tmp_path)).select("doc_id", "is_pdf").collect()] == [("x", True)]
     old, new = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id int, v string"), spark.createDataFrame([(2, "c"), (3, "d")], "doc_id int, v string")
-    sinks.write_upsert(old, str(tmp_path / "t"))
-    assert sorted(map(tuple, spark.read.parquet(sinks.write_upsert(new, str(tmp_path / "t"))).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    again = spark.createDataFrame([(3, "x"), (2, "c"), (3, "d")], "doc_id int, v string").coalesce(1)
+    assert sorted(map(tuple, sinks.upsert(old, again).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    path = str(tmp_path / "t")
+    for number, rows in enumerate((old, again, new.where("doc_id = 3").selectExpr("doc_id", "'e' as v"))):
+        sinks.append_version(rows, path, number)
+        sinks.append_version(rows, path, number)  # a batch that is run again
+    want = [(1, "a"), (2, "c"), (3, "e")]
+    assert sorted(map(tuple, sinks.newest(spark, path).collect())) == want
+    sinks.compact(spark, path)
+    assert [p.name for p in (tmp_path / "t").iterdir() if p.is_dir()] == ["version=5"] and sorted(map(tuple, sinks.newest(spark, path).collect())) == want
+    sinks.append_version(new.where("doc_id = 2").selectExpr("doc_id", "'f' as v"), path, 3)
+    assert sorted(map(tuple, sinks.newest(spark, path).collect())) == [(1, "a"), (2, "f"), (3, "e")]
+    sinks.export_lines(old, str(tmp_path / "lines"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "lines")).collect()) == ['{"1":"a"}', '{"2":"b"}']
     sinks.export_json(old, str(tmp_path / "o.json"))
     sinks.export_json(new, str(tmp_path / "o.json"), merge=True)
     assert '"1"' in (tmp_path / "o.json").read_text() and (tmp_path / "o.json").read_text().endswith("}\n")
 
 
+def test_kept_conversions(spark, tmp_path):
+    docs = spark.createDataFrame([("a/1", "x\n"), ("b", ""), ("c", None), ("é", "ü")], "doc_id string, markdown string")
+    assert sinks.write_markdown(docs, str(tmp_path / "md")) == 4
+    assert {p.name: p.read_text(encoding="utf-8") for p in (tmp_path / "md").iterdir() if not p.name.startswith(".")} == {"a_1.md": "x\n", "b.md": "", "c.md": "", "_.md": "ü"}
+    pages = spark.createDataFrame([("p", [3, 12, 4], "m1"), ("q_pages_2", [], "m2")], "doc_id string, pages array<int>, markdown string")
+    sinks.write_markdown(pages, str(tmp_path / "alt"), readers.alternative_name(F.col("doc_id"), F.col("pages")))
+    (tmp_path / "alt" / "other.md").write_text("no", encoding="utf-8")
+    assert sorted(map(tuple, readers.alternatives(spark, str(tmp_path / "alt")).collect())) == [("p", [3, 12, 4], "m1"), ("q_pages_2", [], "m2")]
+
+
+FITZ = """
+class Page:
+    def __init__(self, text): self.text = text
+    def get_text(self, kind): return self.text
+
+class Document(list):
+    def __enter__(self): return self
+    def __exit__(self, *_): pass
+    page_count = property(len)
+    def insert_pdf(self, other, from_page, to_page): self.extend(other[from_page : to_page + 1])
+    def tobytes(self): return "|".join(p.text for p in self).encode()
+
+def open(stream=None, filetype=None):
+    if stream == b"broken": raise RuntimeError("damaged")
+    return Document(Page(t) for t in stream.decode().split("|")) if stream is not None else Document()
+"""
+
+
+def test_adapters_keep_failures_to_their_document(spark, tmp_path):
+    files = spark.createDataFrame([("d", b"x = 1 (1)\n second |last"), ("bad", b"broken")], "doc_id string, content binary").coalesce(1)
+    without = readers.page_counts(files).collect()
+    assert {(r.doc_id, r.pages, r.error.split(":")[0]) for r in without} == {("d", None, "ModuleNotFoundError"), ("bad", None, "ModuleNotFoundError")}
+    (tmp_path / "fitz.py").write_text(FITZ, encoding="utf-8")
+    spark.sparkContext.addPyFile(str(tmp_path / "fitz.py"))  # a stand-in for the library
+    assert {tuple(r) for r in readers.page_counts(files).collect()} == {("d", 2, None), ("bad", None, "RuntimeError: damaged")}
+    lines = readers.page_lines(files)
+    assert sorted(tuple(r)[:5] for r in lines.where("error is null").collect()) == [("d", "last", 2, 1, 3), ("d", "second", 1, 2, 2), ("d", "x = 1 (1)", 1, 1, 1)]
+    assert [(r.doc_id, r.text) for r in lines.where("error is not null").collect()] == [("bad", None)]
+    assert [(e.doc_id, e.number, e.latex) for e in E.page_text(lines).collect()] == [("d", "1", "x = 1")]
+    cut = readers.single_pages(files, spark.createDataFrame([("d", 2), ("d", 3), ("bad", 1)], "doc_id string, page int")).collect()
+    assert {(r.doc_id, r.page, r.error) for r in cut} == {("d", 2, None), ("d", None, "ValueError: page 3 is outside the document"), ("bad", None, "RuntimeError: damaged")}
+    assert bytes(next(r.page_content for r in cut if r.page == 2)) == b"last"
+
+    def make():
+        def convert(content):
+            if content == b"broken":
+                raise KeyError("k")
+            return content.decode().upper()
+
+        return convert
+
+    docs = readers.converted(files, make)
+    assert {tuple(r)[:4] for r in docs.collect()} == {("d", "X = 1 (1)\n SECOND |LAST", 23, "success"), ("bad", "", 0, "docling_failed:KeyError")}
+    data, report = W.records(W.run(docs, page_lines=lines), docs)
+    assert {r.doc_id: (r.docling_status, r.equation_labels) for r in report.collect()} == {"d": ("success", ["1"]), "bad": ("docling_failed:KeyError", [])}
+    assert {r.doc_id: len(r.equations) for r in data.collect()} == {"d": 1, "bad": 0}
+
+
+def test_labels_of_any_length(spark):
+    names = ["9" * 400, "1" + "0" * 39, "2", "002", "1" + "0" * 37, "1.0000002", "1.3", "1" * 39 + "a", "A" + "9" * 50, "A3", "x"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, t string").orderBy(L.sort_key(F.col("t")), "i")
+    assert [r.t for r in rows.collect()] == ["1.0000002", "1.3", "2", "002", "1" + "0" * 37, "1" * 39 + "a", "1" + "0" * 39, "9" * 400, "A3", "A" + "9" * 50, "x"]
+    docs = spark.createDataFrame([("d", "\n".join(f"x = y ({n})" for n in ("1" * 400, "1" * 39, "1" * 38, "7")))], "doc_id string, markdown string")
+    assert [len(e.number) for e in V.extract_equations(docs).orderBy("rank").collect()] == [1, 38, 39, 400]
+
+
+def test_scope_comes_after_the_limit(spark):
+    docs = spark.createDataFrame([("d", "x = y (A1)\nx = y (2)\nx = y (0)\nx = y (3)")], "doc_id string, markdown string")
+    for limit, want in ((4, ["2", "3"]), (2, ["2"]), (1, []), (0, [])):
+        assert [e.number for e in W.run(docs, W.Options(equations=limit, scope="main")).orderBy("rank").collect()] == want
+    with pytest.raises(ValueError):
+        W.run(docs, W.Options(scope="some"))
+    assert W.Options.batch().strict_page_text and not W.Options.batch().page_retry and W.Options.batch(page_retry=True).page_retry
+
+
 def test_stream(spark, tmp_path):
     from eqspark.streaming import incremental
 
@@ -169,5 +262,10 @@ def test_stream(spark, tmp_path):
     for name, text in (("p1", DOC), ("p2", "$$u = v ( 9 )$$")):
         (tmp_path / "in" / f"{name}.md").write_text(text, encoding="utf-8")
         incremental.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    last = max(p.name for p in (tmp_path / "out").iterdir())
-    assert {r.doc_id: len(r.equations) for r in spark.read.parquet(str(tmp_path / "out" / last)).collect()} == {"p1": 5, "p2": 1}
+    entries = lambda: {r.doc_id: len(r.equations) for r in sinks.newest(spark, str(tmp_path / "out")).collect()}
+    assert entries() == {"p1": 5, "p2": 1}
+    (tmp_path / "in2").mkdir()
+    (tmp_path / "in2" / "p1.md").write_text("nothing is left", encoding="utf-8")
+    later = spark.read.text(str(tmp_path / "in2"), wholetext=True).selectExpr("'p1' as doc_id", "value as markdown")
+    sinks.append_version(R.dataset(V.extract_equations(later), later), str(tmp_path / "out"), 9)
+    assert entries() == {"p1": 0, "p2": 1}

@@ -174,7 +174,8 @@ def chosen(relation: str, limit: int = 200) -> str:
 
 
 def page_cte(p: str, strict: bool = False) -> str:
-    """CTE ``{p}page``: candidates from the synthetic lines as page lines, four to a page. The walk back is a recursion."""
+    """CTE ``{p}page``: candidates from the synthetic lines as page lines, four to a page.
+    The walk back goes from a label's line, or from the last fragment before it, to the last line that stops it."""
     words, marks = r"len(regexp_extract_all(text, '\b[a-zA-Z]{4,}\b'))", lambda c: f"len(regexp_extract_all(text, '[{c}]'))"
     warnings = (("words > 8", "fallback_candidate_has_many_prose_words"), (f"NOT {matches('text', STRONG)}", "fallback_candidate_has_weak_equation_structure"), (f"{matches('text', CUE)} AND words > 4", "fallback_candidate_contains_prose_cue"))
     usable = f"text <> '' AND {matches('text', SIGNAL)} AND NOT (words > 12 AND NOT {matches('text', STRONG)}) AND NOT ({matches('text', CUE)} AND words > 8 AND {marks('=+' + chr(92) + '-*/^_<>|')} < 4)"
@@ -186,16 +187,17 @@ def page_cte(p: str, strict: bool = False) -> str:
   CASE WHEN regexp_matches(text, '^\s*\(\s*({PAGE_LABEL})\s*\)\s*$') OR sig THEN nullif(regexp_extract(text, '{trailing}', 1), '') END AS number
   FROM (SELECT *, {matches('text', SIGNAL)} AS sig, regexp_matches(text, '(?i)\b(?:Eq|Fig|where|giving|respectively|represents|describes)\b') OR text = '' AS stop, {words} AS words, {marks('=+' + chr(92) + '-*/^_()|')} AS marks FROM {p}plines)"""
     glyphed = trim(replace("text", r"\s+", " "))
-    return f"""{p}plines AS (SELECT doc_id, line_no, {trim('whole')} AS text FROM ({lines_of()})),
+    return f"""{p}plines AS MATERIALIZED (SELECT doc_id, line_no, {trim('whole')} AS text FROM ({lines_of()})),
 {p}facts AS MATERIALIZED ({facts}),
-{p}walk AS (SELECT doc_id, i, i AS pos, i AS start, false AS done, CASE WHEN alone THEN []::VARCHAR[] ELSE [{trim(f"regexp_replace(text, '{trailing}', '')")}] END AS texts FROM {p}facts WHERE number IS NOT NULL
-  UNION ALL SELECT w.doc_id, w.i, f.i, CASE WHEN take THEN f.i ELSE start END, len(texts) > 0 AND NOT take, CASE WHEN take THEN list_prepend(f.text, texts) ELSE texts END
-  FROM (SELECT w.*, f.i AS fi, f.text AS ft, NOT (len(texts) > 0 AND f.labelled) AND (f.fragment OR (len(texts) > 0 AND f.goes_on)) AS take FROM {p}walk w JOIN {p}facts f ON f.doc_id = w.doc_id AND f.i = w.pos - 1 WHERE NOT w.done AND f.i >= w.i - 15) w
-  JOIN {p}facts f ON f.doc_id = w.doc_id AND f.i = w.fi),
-{p}last AS (SELECT doc_id, i, start, texts FROM {p}walk QUALIFY row_number() OVER (PARTITION BY doc_id, i ORDER BY pos) = 1),
-{p}win AS (SELECT w.doc_id, w.i, CASE WHEN none THEN w.i - 1 ELSE start END AS start, array_to_string(list_filter(CASE WHEN none THEN [b.text] ELSE texts END, lambda x: x <> ''), ' ') AS text
-  FROM (SELECT *, len(texts) = 0 AND i > 0 AS none FROM {p}last) w LEFT JOIN {p}facts b ON b.doc_id = w.doc_id AND b.i = w.i - 1),
+{p}back AS MATERIALIZED (SELECT *, max(CASE WHEN fragment THEN i END) OVER before AS last_fragment, max(CASE WHEN labelled OR NOT (fragment OR goes_on) THEN i END) OVER before AS last_stop
+  FROM {p}facts WINDOW before AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+{p}base AS MATERIALIZED (SELECT *, CASE WHEN NOT alone THEN i WHEN last_fragment >= i - 15 THEN last_fragment END AS b FROM {p}back WHERE number IS NOT NULL),
+{p}span AS MATERIALIZED (SELECT m.doc_id, m.i, m.alone, m.text AS own, CASE WHEN m.b IS NULL THEN greatest(m.i - 1, 0) ELSE greatest(coalesce(f.last_stop, -1) + 1, m.i - 15) END AS start, CASE WHEN m.b IS NULL THEN greatest(m.i - 1, 0) WHEN m.alone THEN m.b ELSE m.i - 1 END AS stop
+  FROM {p}base m LEFT JOIN {p}back f ON f.doc_id = m.doc_id AND f.i = m.b),
+{p}win AS MATERIALIZED (SELECT m.doc_id, m.i, m.start, concat_ws(' ', string_agg(l.text, ' ' ORDER BY l.line_no) FILTER (l.text <> '' AND l.line_no < m.i), CASE WHEN NOT m.alone THEN nullif({trim(f"regexp_replace(m.own, '{trailing}', '')")}, '') END) AS text
+  FROM {p}span m LEFT JOIN {p}plines l ON l.doc_id = m.doc_id AND l.line_no BETWEEN m.start AND m.stop GROUP BY m.doc_id, m.i, m.start, m.alone, m.own),
 {p}kept AS MATERIALIZED (SELECT w.doc_id, w.i, w.start, f.number, w.text AS collected FROM (SELECT *, {words} AS words FROM {p}win) w JOIN {p}facts f ON f.doc_id = w.doc_id AND f.i = w.i WHERE {usable.replace('text', 'w.text')}),
 {p}bare AS MATERIALIZED (SELECT *, {trim(r"regexp_replace(collected, '\(\s*' || regexp_escape(number) || '\s*\)\s*$', '')")} AS text FROM {p}kept),
+{p}near AS MATERIALIZED (SELECT b.doc_id, b.i, b.start, b.number, b.text, left(string_agg(l.text, ' ' ORDER BY l.line_no), 500) AS context FROM {p}bare b JOIN {p}plines l ON l.doc_id = b.doc_id AND l.line_no BETWEEN b.start - 2 AND b.i + 2 GROUP BY ALL),
 {p}page AS {described(f'''(SELECT *, {words} AS words FROM (SELECT *, {output_form('raw_latex')} AS latex, 'pymupdf_text_fallback' AS source, 3 AS src_rank, CAST(start + 1 AS INT) AS line_start, CAST(i + 1 AS INT) AS line_end, CAST(i AS INT) AS emit_ord,
-  concat('PDF page ', i // 4 + 1, ', text lines ', start % 4 + 1, '-', i % 4 + 1) AS source_location FROM (SELECT *, {glyphed} AS raw_latex, (SELECT left(string_agg(l.text, ' ' ORDER BY l.line_no), 500) FROM {p}plines l WHERE l.doc_id = b.doc_id AND l.line_no BETWEEN b.start - 2 AND b.i + 2) AS context FROM {p}bare b)) WHERE latex <> '' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i) <= 200)''', _listed(*warnings))}"""
+  concat('PDF page ', i // 4 + 1, ', text lines ', start % 4 + 1, '-', i % 4 + 1) AS source_location FROM (SELECT *, {glyphed} AS raw_latex FROM {p}near)) WHERE latex <> '' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY i) <= 200)''', _listed(*warnings))}"""

@@ -352,12 +352,12 @@ def first_per_label(spark, sf_dir):
     return V.first_per_label(whole).select("doc_id", "number", F.col("emit_ord").alias("first_line"))
 
 
-_TOTAL = f"{_MARKDOWN}, eq AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM {D.chosen('d_found')})"
+_TOTAL = f"{_MARKDOWN}, eq AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, list(number) OVER (PARTITION BY doc_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS labels FROM {D.chosen('d_found')})"
 _TRAIL = ("download_pdf", "convert_with_docling", "extract_enumerated_equations", "extraction_confidence", "quality_warnings", "equation_location", "equation_raw", "normalize_equation", "context_window")
 
 
 @query(
-    f"""WITH {_TOTAL} SELECT o_orderkey AS doc_id, e.number, latex AS equation, '' AS meaning, '0' AS symbols, coalesce((SELECT string_agg(x.number, ',' ORDER BY x.rank) FROM eq x WHERE x.doc_id = e.doc_id AND x.number <> e.number), '') AS relations,
+    f"""WITH {_TOTAL} SELECT o_orderkey AS doc_id, e.number, latex AS equation, '' AS meaning, '0' AS symbols, array_to_string(list_filter(labels, lambda x: x <> e.number), ',') AS relations,
  concat('Used arXiv PDF for arXiv:', o_orderkey) AS download_pdf, 'Converted PDF locally with Docling; status=unknown' AS convert_with_docling, concat('Selected equation ', rank, '/', n, ' from ', source) AS extract_enumerated_equations, confidence AS extraction_confidence,
  concat_ws(',', nullif(warnings, ''), nullif({D._listed(*D.LABEL_RULES)}, '')) AS quality_warnings, source_location AS equation_location, raw_latex AS equation_raw,
  'Applied conservative cleanup for LaTeX spacing, trailing layout markers, and visible equation labels.' AS normalize_equation, context AS context_window FROM orders JOIN eq e ON e.doc_id = o_orderkey

@@ -1,8 +1,8 @@
 """Personal data by pattern, checksum and context, in DataFrame functions only.
 
 Each kind has a pattern that proposes spans, a check of the matched text (Luhn, mod-97, ranges,
-digit counts) and context words that raise its score when they stand near. Kinds of the base set
-count as soon as their check holds; the further kinds also need a score.
+digit counts) and context words that raise its score when they stand near, or lower it. Kinds of the
+base set count as soon as their check holds; the further kinds also need a score.
 
 Offsets come from the pieces between the matches: a match starts after all pieces and matches
 before it, so one linear pass gives every span in code points. The patterns are possessive, and
@@ -63,11 +63,12 @@ class Kind:
     hint: str  #: without this plain string there is no match ("" for any text)
     check: object
     base: float
-    context: str  #: words that add CONTEXT_BONUS when near
+    context: str  #: words that add BONUS when near
     needed: float = 0.0  #: least score
+    against: str = "serial|order|part no|model|isbn|sku|invoice|version"  #: words that take BONUS away
 
 
-CONTEXT_BONUS, CONTEXT_CHARS = 0.3, 40
+BONUS, CONTEXT_CHARS = 30, 40  #: hundredths; code points to either side
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{_WORD})){_WORD}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda v: F.lit(True), 0.7, "mail|contact|write|address"),
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", lambda v: v.rlike(rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"), 0.5, "ip|host|server|addr"),
@@ -91,8 +92,8 @@ def pieces(text: Column, found: Column, kind: Kind) -> Column:
 def accepted(kind: Kind, value: Column, before: Column, after: Column) -> tuple[Column, Column]:
     """Whether a match counts, and its score."""
     near = F.lower(F.concat(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS), F.lit(" "), F.substring(after, 1, CONTEXT_CHARS)))
-    score = F.lit(kind.base) + F.when(near.rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
-    return F.when(kind.check(value), score >= kind.needed).otherwise(False), score
+    hundredths = F.lit(round(kind.base * 100)) + F.when(near.rlike(kind.context), BONUS).otherwise(0) - F.when(near.rlike(kind.against), BONUS).otherwise(0)
+    return F.when(kind.check(value), hundredths >= round(kind.needed * 100)).otherwise(False), hundredths / 100
 
 
 def located(found: Column, parts: Column, kind: Kind) -> Column:
@@ -139,9 +140,16 @@ def listed(kinds: tuple[str, ...]) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
+    """Counts by kind, the digest of the base spans, all spans and, in their order, their scores; and the
+    highest score (0 without spans). A row a row, as in ``find_spans``."""
     spans = find_spans(docs)
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in (*BASE, "iban", "short_card")]
-    return spans.select("doc_id", *counts, F.sha2(listed(BASE), 256).alias("base_sha256"), listed(tuple(k.name for k in KINDS)).alias("spans"))
+    names = tuple(k.name for k in KINDS)
+    scores = F.flatten(F.array(*[F.transform(k, lambda s: s["score"]) for k in names]))
+    return spans.select(
+        "doc_id", *counts, F.sha2(listed(BASE), 256).alias("base_sha256"), listed(names).alias("spans"), F.size(scores).cast("long").alias("n_spans"),
+        F.array_join(F.transform(scores, lambda x: F.format_string("%.2f", x)), ",").alias("scores"), F.coalesce(F.array_max(scores), F.lit(0.0)).alias("top_score"),
+    )
 
 
 def _replacer(kind: Kind, parts: Column):
@@ -156,7 +164,11 @@ def _replacer(kind: Kind, parts: Column):
 
 def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``docs`` with each accepted span replaced by its kind in brackets, one kind after the other,
-    each over the text that the kinds before it left. Null texts stay null; other columns pass through."""
+    each over the text that the kinds before it left.
+
+    Null texts stay null and empty ones empty; repeated rows and ties change alike; other columns, whatever
+    their names, pass through; an empty table stays empty.
+    """
     names = docs.columns
     hidden = {n: f"pii_{n}_" for n in ("text", "found", "parts")}
     while set(hidden.values()) & {c.lower() for c in names}:

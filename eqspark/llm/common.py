@@ -223,3 +223,18 @@ def ranked(df: DataFrame, order: list[str], label: str) -> tuple[DataFrame, str]
     offsets = spark.createDataFrame(rows, f"{part} long, {before} long")  # a row a partition: small at any size
     joined = kept.withColumn(part, F.shiftright(at, 33)).join(F.broadcast(offsets), part)
     return joined.select(*quoted(df.columns), (F.col(before) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).alias(rank)), rank
+
+
+def join_one(left: DataFrame, right: DataFrame, key: str, label: str) -> DataFrame:
+    """Inner join of a stored table with one that has a row a key, however many rows of ``left`` share a key.
+
+    Keys with more than a quarter of a task's fair share of the rows, of which there are at most four a
+    task, are joined by broadcast, all others by a shuffle. Rows whose key is null are dropped.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(left.count() // (4 * parts), 2)
+    often = left.groupBy(key).agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_") >= least).select(key)
+    hot = stored(right.join(F.broadcast(often), key), label)
+    columns = quoted([*left.columns, *[c for c in right.columns if c != key]])
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key)
+    return left.join(F.broadcast(hot), key).select(*columns).union(cold.select(*columns))

@@ -136,12 +136,53 @@ def test_stream_faults():
     stream = mpegts.mux(bytes(range(256)) * 9 * 30)
     got = mpegts.demux(stream)
     assert got["pts"].tolist() == [3600 * i for i in range(120)] and got["access"].tolist() == [0, 25, 50, 75, 100]
+    assert got["clock"].tolist() == [(3600 * i - mpegts.DELAY) % 2**33 for i in range(120)] and got["sizes"].tolist() == [576] * 120
+    assert got["continuity_errors"] == 0 and not len(got["damaged"])
     packets = [stream[i : i + 188] for i in range(0, len(stream), 188)]
-    assert mpegts.demux(b"".join(packets[:9] + packets[10:]))["continuity_errors"] == 1
+    lost = mpegts.demux(b"".join(packets[:9] + packets[10:]))
+    assert lost["continuity_errors"] == 1 and lost["damaged"].tolist() == [1]  # packets 6 to 9 are unit 1
+    assert mpegts.demux(b"".join(packets[:102] + packets[103:]))["continuity_errors"] == 1  # a table is lost
     assert mpegts.demux(b"".join(packets[:9] + packets[8:]))["payload"] == got["payload"]
-    for broken in (b"x" + stream[1:], stream[:100], stream[:20] + b"\0" + stream[21:]):
+    for broken in (b"x" + stream[1:], stream[:100], stream[:20] + b"\0" + stream[21:], b"", stream[188:376], stream[:376]):
         with pytest.raises(ValueError):
             mpegts.demux(broken)
+    for k, at in enumerate(mpegts.access_offsets(120)):
+        joined = mpegts.demux(stream[at:])
+        assert joined["payload"] == got["payload"][25 * 576 * k :] and joined["pts"][0] == 90_000 * k and joined["continuity_errors"] == 0
+    with pytest.raises(ValueError):  # no tables before the units, until the next access point's
+        mpegts.demux(b"".join(packets[5:102]))
+
+
+def test_a_stream_built_by_hand():
+    """Written byte by byte from the format: other PIDs, a null packet, two units of other lengths, one without a clock."""
+    def crc(data):
+        r = 0xFFFFFFFF
+        for bit in "".join(f"{b:08b}" for b in data):
+            r = (r << 1 ^ (0x04C11DB7 if (r >> 31) ^ int(bit) else 0)) & 0xFFFFFFFF
+        return r.to_bytes(4, "big")
+
+    def section(body):
+        return body + crc(body)
+
+    pat = section(bytes.fromhex("00b00d0007c10000" + "0003e234"))  # program 3 on PID 0x234
+    pmt = section(bytes.fromhex("02b0120003c10000" + "e345f000" + "06e345f000"))  # data and clock on PID 0x345
+    packet = lambda pid, first, counter, data: bytes([0x47, first << 6 | pid >> 8, pid & 255, 0x10 | counter]) + data.ljust(184, b"\xff")
+
+    def adapted(pid, first, counter, data, flags=b"\0"):
+        field = flags + b"\xff" * (183 - len(data) - len(flags))
+        return bytes([0x47, first << 6 | pid >> 8, pid & 255, 0x30 | counter, len(field)]) + field + data
+
+    def unit(pts, data):
+        time = bytes([0x21 | pts >> 29 & 14, pts >> 22 & 255, pts >> 14 & 254 | 1, pts >> 7 & 255, pts << 1 & 254 | 1])
+        return b"\0\0\1\xbd" + (8 + len(data)).to_bytes(2, "big") + b"\x84\x80\5" + time + data
+
+    one, two = unit(8_000_000_000, bytes(range(200))), unit(77, b"last")
+    clock = bytes([0x50]) + (5 << 15 | 0x7E00).to_bytes(6, "big")  # random access, clock of 5 ticks
+    stream = packet(0, 1, 9, b"\0" + pat) + packet(0x1FFF, 0, 0, b"") + packet(0x234, 1, 3, b"\0" + pmt)
+    stream += adapted(0x345, 1, 14, one[:150], clock) + adapted(0x345, 0, 15, one[150:]) + adapted(0x345, 1, 0, two)
+    got = mpegts.demux(stream)
+    assert got["payload"] == bytes(range(200)) + b"last" and got["pts"].tolist() == [8_000_000_000, 77] and got["sizes"].tolist() == [200, 4]
+    assert got["clock"].tolist() == [5, -1] and got["access"].tolist() == [0] and got["continuity_errors"] == 0 and not len(got["damaged"])
 
 
 def luhn(digits):
@@ -186,6 +227,56 @@ def test_further_kinds_and_redaction(spark, odd):
     assert pii.redact(odd).columns == odd.columns and pii.redact(odd).count() == odd.count()
 
 
+def further_spans(text):
+    """The two further kinds by plain Python: pattern, checksum, words near."""
+    against = "serial|order|part no|model|isbn|sku|invoice|version"
+    kinds = {
+        "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", 70, "iban|bank|account|konto|cuenta|compte",
+                 lambda m: int("".join(str(int(c, 36)) for c in (lambda v: v[4:] + v[:4])(m.replace(" ", "")))) % 97 == 1),
+        "short_card": (r"(?<![0-9])[0-9]{13,15}(?![0-9])", 40, "card|visa|amex|credit", luhn),
+    }
+    out = []
+    for kind, (pattern, base, words, ok) in kinds.items():
+        found = list(re.finditer(pattern, text))
+        for k, m in enumerate(found):
+            low = found[k - 1].end() if k else 0
+            high = found[k + 1].start() if k + 1 < len(found) else len(text)
+            near = (text[max(low, m.start() - 40) : m.start()] + " " + text[m.end() : min(high, m.end() + 40)]).lower()
+            score = base + 30 * bool(re.search(words, near)) - 30 * bool(re.search(against, near))
+            if ok(m[0]) and score >= 60:
+                out.append((f"{kind}:{m.start()}:{m.end()}", f"{score / 100:.2f}"))
+    return out
+
+
+def test_further_kinds_against_plain_python(spark):
+    r = random.Random(8)
+
+    def iban():
+        body = r.choice(["DE", "GB", "FR"]) + "00" + "".join(r.choice("0123456789ABCZ") for _ in range(r.randint(8, 30)))
+        rest = 98 - int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97
+        made = body[:2] + f"{rest:02d}" + body[4:]
+        return " ".join(made[i : i + 4] for i in range(0, len(made), 4)) if r.random() < 0.5 else made
+
+    def card():
+        digits = "".join(r.choice("0123456789") for _ in range(r.randint(12, 14)))
+        return next(digits + str(k) for k in range(10) if luhn(digits + str(k)))
+
+    wrong = lambda v: v[:-1] + ("7" if v[-1] != "7" else "3")
+    words = ["iban", "Bank", "visa", "Credit", "serial", "Order", "no", "and 😀", "x" * 50, "é", "model:"]
+    rows = []
+    for i in range(500):
+        parts = [r.choice([iban, card, lambda: wrong(iban()), lambda: wrong(card()), lambda: r.choice(words), lambda: r.choice(words)])() for _ in range(r.randint(0, 9))]
+        rows.append((i, r.choice([" ", ", ", "\n"]).join(parts)))
+    got = pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    accepted = 0
+    for row in got:
+        named = list(zip(row.spans.split(","), row.scores.split(","))) if row.spans else []
+        assert [n for n in named if n[0].startswith(("iban", "short_card"))] == further_spans(rows[row.doc_id][1])
+        assert row.n_spans == len(named) and row.top_score == max([float(s) for _, s in named], default=0.0)
+        accepted += len(further_spans(rows[row.doc_id][1]))
+    assert accepted > 300
+
+
 def test_long_runs_of_digits_take_linear_time(spark):
     texts = ["x.@+ " + "1" * 300_000, "1" * 300_000 + ".2.3.4 1.2.3.4", "1.2.3.45.6.7.8 9a1.2.3.4"]
     rows = sorted(pii.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
@@ -254,9 +345,24 @@ def test_components_at_any_shape(spark):
     assert len(rows) == len(want) and {bytes(n): bytes(label) for n, label in rows} == want
 
 
-def test_bands_meet_the_recall():
-    bands = minhash_join.choose_bands(0.8, 0.99999, 4)
-    assert 1 - (1 - 0.8**4) ** bands >= 0.99999 > 1 - (1 - 0.8**4) ** (bands - 1)
+def test_banding_meets_the_recall():
+    for threshold, recall in ((0.8, 0.99999), (0.8, 0.9), (0.5, 0.99), (0.95, 0.9999), (0.05, 0.99999)):
+        bands, rows = minhash_join.choose_banding(threshold, recall)
+        assert 1 - (1 - threshold**rows) ** bands >= recall > 1 - (1 - threshold**rows) ** (bands - 1)
+        assert bands * rows <= 96 or rows == 1
+    assert minhash_join.choose_banding(0.8, 0.99999) == (22, 4)
+
+
+def test_measured_recall_at_the_threshold():
+    rng = np.random.default_rng(3)
+    for recall in (0.9, 0.99999):
+        bands, rows = minhash_join.choose_banding(0.8, recall)
+        met = 0
+        for seed in range(1500):
+            grams = rng.integers(0, 1 << 63, 180, dtype=np.uint64)  # 160 shared and 20 of each: 160 / 200
+            sign = minhash_join.Signer(bands, rows, seed)
+            met += bool(set(sign(np.unique(grams))) & set(sign(np.unique(np.concatenate([grams[:160], rng.integers(0, 1 << 63, 20, dtype=np.uint64)])))))
+        assert met / 1500 >= recall - 0.02
 
 
 def test_kneser_ney(odd, docs):

@@ -50,6 +50,26 @@ def test_cache_encodes_only_misses(spark, odd, monkeypatch):
     assert a == sorted(map(tuple, token_cache.count_documents(odd.where("doc_id is not null"), cache).collect()))
 
 
+def test_cache_by_version_and_normal_form(spark, monkeypatch):
+    cache = fresh_dir(spark, "t")
+    library = Tokenizer.from_file(WORD)
+    rows = [(i, t) for i, t in enumerate(["A b", "a  b", "a\tB", "ﬁ x", None, "", "a b c"] + ["hot text"] * 60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_cache.count_tokens(table, cache, WORD).collect()}
+    assert got == {i: (len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in rows}
+    forms = {library.normalizer.normalize_str(t or "") for _, t in rows}
+    assert spark.read.parquet(cache).count() == len(forms) < len({t for _, t in rows})
+    assert {r.doc_id: r.n_tokens for r in token_cache.count_documents(table, cache).collect()}.keys() == got.keys()
+    assert spark.read.parquet(cache).select("tokenizer_digest").distinct().count() == 2
+    assert token_cache.normaliser(public_tokenizers.path("piece_bpe_32k.model")) is None
+
+    def no_encoding(text):
+        raise AssertionError("a text was encoded again")
+
+    monkeypatch.setattr(token_cache, "counter", lambda path: no_encoding)
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_cache.count_tokens(table, cache, WORD).collect()} == got
+
+
 def test_word_encoder_equals_library(word):
     own, r = WordEncoder(WORD), random.Random(1)
     for _ in range(3000):

@@ -18,15 +18,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, map_rows, ship, stored
+from .common import arrow_schema, join_one, map_rows, quoted, ship, stored
 
 WORDS, THRESHOLD = 5, 0.8
 UNIT_BLOCK = 256
 
 
-def choose_bands(threshold: float, recall: float, rows: int) -> int:
-    """The least number of bands of ``rows`` with which a pair at the threshold meets with this probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+def choose_banding(threshold: float, recall: float, hashes: int = 96) -> tuple[int, int]:
+    """Bands and rows a band: the most rows, and so the fewest needless meetings, with which a pair at the
+    threshold meets with probability ``recall`` in at most so many hashes; one row a band if none will do."""
+    ways = [(math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows))), rows) for rows in range(1, hashes + 1)]
+    return max((w for w in ways if w[0] * w[1] <= hashes), key=lambda w: w[1], default=ways[0])
 
 
 def node_of(text: Column) -> Column:
@@ -215,21 +217,30 @@ def components(edges: DataFrame) -> DataFrame:
     and edges join names, until none is left. The order is that of the nodes in one round, which ends
     stars and cliques at once, and a new random one in the next, which leaves at most about three
     quarters of the names at any shape; so the rounds grow with the logarithm of a component's nodes.
-    The last name in an order is never taken, so every round has fewer. Each round is stored.
+    The last name in an order is never taken, so every round has fewer. Each round is stored. Edges of
+    hubs, as the first node of a large class is one, are renamed by broadcast and don't meet in one task.
     """
 
     def simple(a: Column, b: Column) -> list[Column]:
         return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
+    def renamed(rows: DataFrame, step: DataFrame, least: int, end: str, name: str) -> DataFrame:
+        names = step.select(F.col("node").alias(end), F.col("name").alias(name), "edges")
+        hubs, others = names.where(F.col("edges") >= least).drop("edges"), names.where(F.col("edges") < least).drop("edges")
+        return rows.join(F.broadcast(hubs), end).unionByName(rows.join(others, end))
+
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = stored(edges.where("node <> root").select(*simple(F.col("node"), F.col("root"))).distinct(), "edges")
     steps: list[DataFrame] = []
     while not left.isEmpty():
         turn = len(steps)
         near = left.select(F.col("a").alias("node"), F.col("b").alias("to")).union(left.select("b", "a"))
         place = (lambda c, turn=turn: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("name"))) if turn % 2 else (lambda c: F.struct(F.col(c).alias("name")))
-        first = near.groupBy("node").agg(F.min(place("to")).alias("first"))
-        step = stored(first.select("node", F.least("first", place("node"))["name"].alias("name")), "names")
-        named = left.join(step.select(F.col("node").alias("a"), F.col("name").alias("c")), "a").join(step.select(F.col("node").alias("b"), F.col("name").alias("d")), "b")
+        first = near.groupBy("node").agg(F.min(place("to")).alias("first"), F.count(F.lit(1)).alias("edges"))
+        step = stored(first.select("node", F.least("first", place("node"))["name"].alias("name"), "edges"), "names")
+        least = max(left.count() // (4 * parts), 2)  # hubs have more edges: at most eight a task
+        named = renamed(renamed(left, step, least, "a", "c"), step, least, "b", "d")
+        step = step.drop("edges")
         left = stored(named.where("c <> d").select(*simple(F.col("c"), F.col("d"))).distinct(), "edges")
         steps.append(step)
     if not steps:
@@ -241,7 +252,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, threshold: tuple[int, int] = (4, 5), recall: float = 0.99999, rows: int = 4, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, threshold: tuple[int, int] = (4, 5), recall: float = 0.99999, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
     """Two tables: members (``doc_id, node``: a row per document) and nodes (``node, class_id,
     n_links, n_copies, keeper``: a row per distinct text).
@@ -252,7 +263,7 @@ def near_duplicates(
     ``n_links`` counts the linked texts, ``n_copies`` the rows of this text. Null and empty texts are one
     text; texts without words have no links. Repeated rows count as copies. An empty table gives empty tables.
     """
-    bands = choose_bands(threshold[0] / threshold[1], recall, rows)
+    bands, rows = choose_banding(threshold[0] / threshold[1], recall)
     signed = signatures(docs, bands, rows, words, id_column, text_column)
     nodes = stored(signed.groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_copies")), "nodes")
     links = verified(docs, nodes, words, threshold, text_column)
@@ -268,13 +279,17 @@ def near_duplicates(
 
 def join_documents(docs: DataFrame) -> DataFrame:
     members, nodes = near_duplicates(docs)
-    return members.join(nodes, "node").select("doc_id", "class_id", "n_links", "n_copies")
+    return join_one(members, nodes, "node", "hot-nodes").select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each class: of its kept text, the row with the least identifier."""
+    """``docs`` with one row of each class: of its kept text, the row with the least identifier.
+
+    Null and empty texts are one class, of which one row stays. Of rows equal in identifier and text any
+    one stays; null identifiers come last. All columns pass through, whatever their names; an empty table stays empty.
+    """
     _, nodes = near_duplicates(docs)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*quoted(docs.columns))
     held = docs.select(node_of(F.col("text")).alias("node"), F.struct(F.col("doc_id").isNull(), F.col("doc_id")).alias("order"), row.alias("row"))
     single = held.groupBy("node").agg(F.min_by("row", "order").alias("row"))  # copies meet as partial results
     return single.join(nodes.where("keeper").select("node"), "node", "left_semi").select("row.*")

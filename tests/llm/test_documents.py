@@ -365,65 +365,75 @@ def test_measured_recall_at_the_threshold():
         assert met / 1500 >= recall - 0.02
 
 
-def test_kneser_ney(odd, docs):
+def brute_kneser_ney(texts, order):
+    """log10 probabilities of the tokens of any text, by plain dictionaries."""
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    tokens = lambda t: [*WORDS.findall(lower(t)), None]
+    grams = lambda w, k: [tuple(([0] * (k - 1) + w)[i : i + k]) for i in range(len(w))]
+    raw = Counter(g for t in texts for g in grams(tokens(t), order))
+    adjusted = {order: raw}
+    for k in range(order - 1, 0, -1):
+        adjusted[k] = Counter()
+        for g, c in adjusted[k + 1].items():
+            adjusted[k][g[1:]] += c if g[1] == 0 else 1
+    after = {k: defaultdict(list) for k in adjusted}
+    for k, counts in adjusted.items():
+        for g, c in counts.items():
+            after[k][g[:-1]].append(c)
+
+    def discounts(counts):
+        n1, n2, n3, n4 = (sum(c == k for c in counts) for k in (1, 2, 3, 4))
+        if not (n1 and n2 and n3):
+            return [0, 0.5, 1.0, 1.5]
+        y = n1 / (n1 + 2 * n2)
+        return [0] + [min(max(k - (k + 1) * y * b / a, 0), k) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+
+    d = {k: discounts(adjusted[k].values()) for k in adjusted}
+    v, total = len(adjusted[1]), sum(adjusted[1].values())
+    rest = sum(d[1][min(c, 3)] for c in adjusted[1].values())
+    weight = {k: {h: (sum(c), sum(d[k][min(x, 3)] for x in c)) for h, c in after[k].items()} for k in adjusted}
+
+    def p(g):
+        k, c = len(g), adjusted[len(g)][g]
+        if k == 1:
+            return (max(c - d[1][min(c, 3)], 0) + rest / (v + 1)) / total if total else 1 / (v + 1)
+        if g[:-1] not in weight[k]:
+            return p(g[1:])
+        sum_, left = weight[k][g[:-1]]
+        return (max(c - d[k][min(c, 3)], 0) + left * p(g[1:])) / sum_
+
+    return lambda t: [math.log10(p(g)) for g in grams(tokens(t), order)], p, [w for (w,) in adjusted[1]]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_kneser_ney(odd, docs, order):
     for table in (docs, odd):
         rows = [tuple(r) for r in table.select("doc_id", "text").collect()]
         held = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2
-        lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-        tokens = {(i, t): [*WORDS.findall(lower(t)), None] for i, t in rows}
-        uni, pairs = Counter(), Counter()
-        for i, t in rows:
-            if not held(i):
-                w = tokens[i, t]
-                uni.update(w)
-                pairs.update(zip([0, *w[:-1]], w, strict=True))
+        tokens = lambda t: [*WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
+        training = [t for i, t in rows if not held(i)]
+        uni = Counter(w for t in training for w in tokens(t))
         n, v = sum(uni.values()), len(uni)
-        cont, after = Counter(w for _, w in pairs), defaultdict(list)
-        for (a, _), c in pairs.items():
-            after[a].append(c)
-
-        def discounts(counts):
-            n1, n2, n3, n4 = (sum(c == k for c in counts) for k in (1, 2, 3, 4))
-            if not (n1 and n2 and n3):
-                return [0, 0.5, 1.0, 1.5]
-            y = n1 / (n1 + 2 * n2)
-            return [0] + [min(max(k - (k + 1) * y * b / a, 0), k) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-
-        d2, d1 = discounts(pairs.values()), discounts(cont.values())
-        total = sum(cont.values())
-
-        def p1(w):
-            rest = sum(d1[min(c, 3)] for c in cont.values())
-            return (max(cont[w] - d1[min(cont[w], 3)], 0) + rest / (v + 1)) / total
-
-        memo = {}
-
-        def p2(a, w):
-            if (a, w) not in memo:
-                low, c = p1(w) if w in cont else p1(0), pairs[a, w]
-                memo[a, w] = (max(c - d2[min(c, 3)], 0) + sum(d2[min(x, 3)] for x in after[a]) * low) / sum(after[a]) if a in after else low
-            return memo[a, w]
-
-        low = {w: p1(w) for w in [*cont, 0]}
-        p1 = low.__getitem__  # noqa: F811
+        scores, p, vocabulary = brute_kneser_ney(training, order)
         want = defaultdict(list)
         for i, t in rows:
-            w = tokens[i, t]
-            base = sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w)
-            score = sum(math.log10(p2(a, x)) for a, x in zip([0, *w[:-1]], w, strict=True))
-            want[i].append((held(i), len(w), sum(uni[x] > 0 for x in w), n, base, score))
-        got = kneser_ney.score_documents(table).collect()
+            w = tokens(t)
+            want[i].append((held(i), len(w), sum(uni[x] > 0 for x in w), n, sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w), sum(scores(t))))
+        got = kneser_ney.score_documents(table, order).collect()
         assert len(got) == len(rows)
         for r in got:
             assert any(tuple(r)[1:5] == x[:4] and r.base_score == pytest.approx(x[4]) and r.score == pytest.approx(x[5]) for x in want[r.doc_id])
-    assert sum(low[w] for w in cont) + low[0] == pytest.approx(1)
+    for context in ((0,) * (order - 1), (0, "pay")[: order - 1], ("never", "seen", "before")[: order - 1]):
+        if len(context) == order - 1:
+            assert sum(p((*context, w)) for w in [*vocabulary, "unknown"]) == pytest.approx(1)
 
 
 def test_small_buckets_change_nothing(docs, monkeypatch):
     whole = {r.doc_id: r.score for r in kneser_ney.score_documents(docs).collect()}
-    monkeypatch.setattr(kneser_ney, "TOKENS_A_BUCKET", 2000)
-    for i, s in ((r.doc_id, r.score) for r in kneser_ney.score_documents(docs).collect()):
-        assert s == pytest.approx(whole[i])
+    for tokens in (20_000, 1500):
+        monkeypatch.setattr(kneser_ney, "TOKENS_A_BUCKET", tokens)
+        for i, s in ((r.doc_id, r.score) for r in kneser_ney.score_documents(docs).collect()):
+            assert s == pytest.approx(whole[i])
 
 
 def test_empty(empty, labels):

@@ -53,12 +53,10 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession):
-    """Deletes, at its end, the folders that ``fresh_dir`` named in it.
-
-    For a step whose result is written elsewhere, or stored before the scope began to count.
-    """
-    _scopes.append([])
+def scratch(spark: SparkSession, *more: str | None):
+    """Deletes, at its end, the folders that ``fresh_dir`` named in it, and ``more``. For a step whose
+    result is written in it to a folder that was named before."""
+    _scopes.append([m for m in more if m is not None])
     try:
         yield
     finally:

@@ -145,7 +145,8 @@ def count_shuffle(rows: DataFrame, emit, reduce, schema: str, parts: int) -> Dat
         if held:
             yield pa.RecordBatch.from_pylist([reduce(now, held)], schema=arrow)
 
-    shuffled = rows.mapInArrow(map_side, "bucket long, data binary").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    dealt = F.pmod(F.col("bucket"), F.lit(parts)).cast("int")  # evenly: hashes would bring several buckets to one task
+    shuffled = rows.mapInArrow(map_side, "bucket long, data binary").repartitionById(parts, dealt).sortWithinPartitions("bucket")
     return stored(shuffled.mapInArrow(reduce_side, schema), "counts")
 
 
@@ -216,8 +217,9 @@ class Model:
 
     def find(self, kind: str, keys: np.ndarray, buckets: np.ndarray, values: int) -> list[np.ndarray]:
         """Values of keys (zeros where absent). Different keys are looked up in order, each bucket once."""
-        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        bucket = buckets[first]
+        unique, inverse = np.unique(keys, return_inverse=True)
+        bucket = np.empty(len(unique), np.int64)
+        bucket[inverse] = buckets
         order = np.argsort(bucket, kind="stable")
         unique, bucket = unique[order], bucket[order]
         found = np.zeros((len(unique), values), np.int64)
@@ -229,8 +231,7 @@ class Model:
             known, code, table = self.files[name]
             if len(known):
                 place = np.minimum(np.searchsorted(known, unique[low:stop]), len(known) - 1)
-                hit = known[place] == unique[low:stop]
-                found[low:stop][hit] = table[code[place[hit]]]
+                found[low:stop] = table[code[place]] * (known[place] == unique[low:stop])[:, None]
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         return list(found[back[inverse]].T)
@@ -401,10 +402,10 @@ def train(texts: DataFrame, order: int = 3) -> Model:
         def contexts(batches):
             for batch in batches:
                 for kind, bucket, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    yield (bucket << 8) + kind, data
+                    yield bucket + (kind << 32), data
 
         def add_contexts(both, held):
-            bucket, kind = both >> 8, both & 255
+            bucket, kind = both & 0xFFFFFFFF, both >> 32
             save(f"{folder}/context{kind}-{bucket + (1 << bits):05d}", *summed(*map(np.concatenate, zip(*held, strict=True))))
             return {"bucket": both}
 

@@ -108,14 +108,18 @@ def located(found: Column, parts: Column, kind: Kind) -> Column:
         one = F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), score.alias("score"))).cast(SPAN)
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["spans"], one)).otherwise(acc["spans"]).alias("spans"))
 
-    def block(acc: Column, b: Column) -> Column:
+    def block(span: Column, acc: Column, b: Column) -> Column:
         inner = F.aggregate(F.slice(span, b * BLOCK + 1, F.lit(BLOCK)), F.struct(acc["at"].alias("at"), F.array().cast(SPAN).alias("spans")), step)
         return F.struct(inner["at"].alias("at"), F.concat(acc["lists"], F.array(inner["spans"])).alias("lists"))
 
-    small = F.aggregate(span, zero, step)["spans"]
     lists = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("lists"))
-    blocks = F.aggregate(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int")), lists, block)
-    return F.when(F.size(found) == 0, F.array().cast(SPAN)).when(F.size(found) <= BLOCK, small).otherwise(F.flatten(blocks["lists"]))
+
+    def all_blocks(span: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(span) - 1) / BLOCK).cast("int")), lists, lambda acc, b: block(span, acc, b))["lists"]
+
+    small = F.aggregate(span, zero, step)["spans"]
+    large = F.flatten(F.transform(F.array(span), all_blocks)[0])  # bound, as each block takes a slice of it
+    return F.when(F.size(found) == 0, F.array().cast(SPAN)).when(F.size(found) <= BLOCK, small).otherwise(large)
 
 
 def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -62,6 +62,61 @@ def test_forest_finds_outliers_and_needs_labels(odd, labels):
     assert quality_forest.repeated_words([str(i % 7000).encode() for i in range(7300)], 5) == 600
 
 
+def walked(forest, features):
+    """A row's score by walking each tree from its root."""
+    total = 0.0
+    for t in range(forest.trees):
+        node = depth = 0
+        while forest.feature[t, node] >= 0:
+            node, depth = 2 * node + (1 if features[forest.feature[t, node]] < forest.split[t, node] else 2), depth + 1
+        assert depth <= forest.path[t, node] and depth <= 5
+        total += forest.path[t, node]
+    return 2 ** (-total / forest.trees / forest.norm)
+
+
+def test_forest_paths_against_a_walk(docs, labels):
+    x = np.round(np.random.default_rng(2).normal(size=(300, 4)), 1)
+    forest = quality_forest.IsolationForest(trees=30, subsample=32).fit(x)
+    for n in (10, 32, 256, 4096):  # the harmonic sum, which the logarithm stands for
+        assert quality_forest.expected_path(n) == pytest.approx(2 * sum(1 / k for k in range(1, n)) - 2 * (n - 1) / n, rel=0.05)
+    assert forest.norm == pytest.approx(float(quality_forest.expected_path(32)))
+    assert forest.score(x[:60]) == pytest.approx([walked(forest, row) for row in x[:60]])
+    model = quality_forest.fit(docs, labels)
+    own, narrow, threshold = model.telling
+    texts = dict(map(tuple, docs.select("doc_id", "text").collect()))
+    for r in quality_forest.assess(docs, model).collect():
+        features = quality_forest.statistics(texts[r.doc_id])[1]
+        good = walked(model.forest, features) < model.threshold and walked(narrow, [features[k] for k in own]) < threshold
+        assert r.kept == (good and not base_statistics(texts[r.doc_id])[-1])
+
+
+def test_very_long_texts(spark):
+    """Several megabytes in one text, beside a near copy and a short one."""
+    r = random.Random(6)
+    words = [f"{r.choice('abcdefgh')}{r.randrange(400)}{r.choice(['', ',', ' #', chr(10), ' é'])}" for _ in range(500_000)]
+    long, near = " ".join(words), " ".join(words[:250_000] + ["other"] + words[250_001:])
+    run = "x" * 2_000_000
+    table = spark.createDataFrame([(1, long), (2, near), (3, run), (4, "short")], "doc_id long, text string").repartition(2)
+    texts = {1: long, 2: near, 3: run, 4: "short"}
+    assert len(long) > 2_500_000
+    got = {r.doc_id: r for r in mpegts.read_streams(mpegts.store_streams(table)).collect()}
+    for i, t in texts.items():
+        data = t.encode() + b"\xff" * (-len(t.encode()) % 576)
+        assert got[i].payload_sha256 == hashlib.sha256(data).hexdigest() and not got[i].damaged
+    classes = {r.doc_id: (r.class_id, r.n_links) for r in minhash_join.join_documents(table).collect()}
+    assert classes == {1: (1, 1), 2: (1, 1), 3: (3, 0), 4: (4, 0)}
+    stats = {r.doc_id: r for r in quality_forest.assess(table, quality_forest.QualityModel(None, math.inf)).collect()}
+    for i in (1, 3, 4):
+        assert tuple(stats[i])[1:7] == base_statistics(texts[i])
+    scored = {r.doc_id: r.n_tokens for r in kneser_ney.score_documents(table).collect()}
+    assert scored == {i: len(t.split()) + 1 for i, t in texts.items()}
+    sized = {r.doc_id: r.size for r in hilbert.shard_documents(table.withColumns({"lang": F.lit("en"), "source": F.lit("s")})).collect()}
+    assert sized == {i: len(t.encode()) + 16 for i, t in texts.items()}
+    spans = {r.doc_id: r.spans for r in pii.report(table).collect()}
+    assert spans[3] == ""  # plain Python would take hours
+    assert all(spans[i] == ",".join(f"{k}:{a}:{b}" for k in pii.BASE for a, b in base_spans(texts[i])[k]) for i in (1, 2, 4))
+
+
 @pytest.mark.parametrize(("dimensions", "bits"), [(3, 3), (2, 5), (4, 2), (1, 4), (3, 1)])
 def test_hilbert_curve_is_continuous(spark, dimensions, bits):
     cells = list(itertools.product(range(1 << bits), repeat=dimensions))

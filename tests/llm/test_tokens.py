@@ -1,5 +1,6 @@
 """Token counts, token tables, automaton encoding and packing against the libraries."""
 
+import bisect
 import hashlib
 import random
 import zlib
@@ -197,6 +198,43 @@ def test_plan_is_whole(seed):
     assert bins <= max(len(large), 1.25 * sum(n * c for n, c in lengths.items()) / capacity + 1)
 
 
+def best_fit(lengths, capacity):
+    """Plain best-fit decreasing, a piece at a time."""
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(gaps, n)
+        gap = gaps.pop(k) if k < len(gaps) else capacity
+        bisect.insort(gaps, gap - n)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_few_sequences(seed):
+    r, capacity = random.Random(seed), 4096
+    shape = r.choice([lambda: r.randint(1, capacity), lambda: min(capacity, int(r.lognormvariate(6, 1.2)) + 1), lambda: r.choice([1366, 1365, 2048, 2049, 700, 4096])])
+    lengths = [shape() for _ in range(r.randint(1, 1500))]
+    _, bins = packing.plan(Counter(lengths), capacity)
+    least = max(-(-sum(lengths) // capacity), sum(2 * n > capacity for n in lengths))
+    assert least <= bins <= best_fit(lengths, capacity) * 1.02 + 1
+
+
+def test_very_long_texts(spark, word):
+    r = random.Random(7)
+    long = " ".join(f"{r.choice('abcdefgh')}{r.randrange(400)}{r.choice(['', ',', ' #', chr(10), ' é'])}" for _ in range(400_000))
+    texts = {1: long, 2: long.upper(), 3: "short"}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    rows = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in sstable.tables_of(table, WORD).collect()}
+    assert rows == {i: (len(word(t)), zlib.crc32(le(word(t)))) for i, t in texts.items()}
+    library = Tokenizer.from_file(BYTE)
+    coded = {r.doc_id: r.ids_sha256 for r in bpe_automaton.round_trip(table, BYTE).collect()}
+    assert coded == {i: hashlib.sha256(le(library.encode(t, add_special_tokens=False).ids)).hexdigest() for i, t in texts.items()}
+    pieces = packing.pack_documents(table, WORD).collect()
+    assert {i: sum(p.length for p in pieces if p.doc_id == i) for i in texts} == {i: len(word(t)) for i, t in texts.items()}
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    counts = {r.doc_id: r.n_tokens for r in token_cache.count_documents(table, fresh_dir(spark, "t")).collect()}
+    assert counts == {i: len(model.encode(t)) for i, t in texts.items()}
+
+
 def test_packing(spark, odd, docs, word):
     for table in (odd, docs):
         placed = stored(packing.pack_documents(table, WORD), "t")

@@ -1,4 +1,8 @@
-"""Lines and display-math blocks of documents, each document in one row: no shuffle is needed."""
+"""Lines and display-math blocks of documents, each document in one row: no shuffle is needed.
+
+Arrays become rows by the outer forms of explode, with a filter behind: the inner ones would have the optimizer
+put a filter on the array's size below, which computes the array once more.
+"""
 
 from __future__ import annotations
 
@@ -16,7 +20,7 @@ def with_lines(docs: DataFrame) -> DataFrame:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(lines(F.col("markdown"))).alias("line_no", "text"))
+    return docs.select("doc_id", F.posexplode_outer(lines(F.col("markdown"))).alias("line_no", "text")).where("text is not null")
 
 
 def opens(t: Column) -> Column:
@@ -88,4 +92,4 @@ def blocks(docs: DataFrame) -> DataFrame:
             context(stripped, b["start"], b["end"]).alias("context"), nearest_reference(stripped, b["start"], b["end"]).alias("reference"),
         )
 
-    return with_bounds(docs).select("doc_id", F.transform("bounds", described).alias("b")).select("doc_id", F.posexplode("b").alias("emit_ord", "b")).select("doc_id", "emit_ord", "b.*")
+    return with_bounds(docs).select("doc_id", F.transform("bounds", described).alias("b")).select("doc_id", F.posexplode_outer("b").alias("emit_ord", "b")).where("b is not null").select("doc_id", "emit_ord", "b.*")

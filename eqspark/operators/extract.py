@@ -108,7 +108,7 @@ def _neighbor_references(rows: DataFrame) -> DataFrame:
 
 
 def _exploded(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("doc_id", F.explode(name).alias("c")).select("doc_id", "c.*")
+    return rows.select("doc_id", F.explode_outer(name).alias("c")).where("c is not null").select("doc_id", "c.*")
 
 
 def math_blocks(docs: DataFrame) -> DataFrame:
@@ -175,7 +175,7 @@ def page_text(page_lines: DataFrame, limit: int = P.EQUATIONS_A_DOCUMENT, strict
         w = _window(F.col("l"), i)
         return F.struct(i.alias("index"), w["text"].alias("text"), w["start"].alias("start"), F.get(F.col("l"), i).alias("me"))
 
-    rows = rows.withColumn("found", F.transform(at, described)).select("doc_id", "l", F.explode("found").alias("x"))
+    rows = rows.withColumn("found", F.transform(at, described)).select("doc_id", "l", F.explode_outer("found").alias("x")).where("x is not null")
     left = F.greatest(F.col("x.start") - 2, F.lit(0))
     near = F.transform(F.slice("l", left + 1, F.col("x.index") + 3 - left), lambda x: x["text"])
     first = F.get("l", F.col("x.start"))

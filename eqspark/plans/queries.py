@@ -25,9 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of the synthetic documents. They are a narrow column of few files, but stand for whole
+    documents, so they are dealt over all tasks first."""
+    return table(spark, sf_dir, "orders").select("o_orderkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+
+
 def synthetic_lines(spark: SparkSession, sf_dir: str, kept: str = "true") -> DataFrame:
     """The lines of the synthetic documents; those that ``kept`` doesn't hold for were lost in conversion: they are empty."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("i"))
+    orders = keys(spark, sf_dir).select("o_orderkey", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("i"))
     return orders.select(F.col("o_orderkey").alias("doc_id"), F.col("i").alias("line_no"), F.expr(f"CASE WHEN {kept} THEN {LINE} ELSE '' END").alias("text"))
 
 
@@ -38,7 +44,7 @@ def joined(rows: DataFrame, *key: str, order: str = "line_no") -> DataFrame:
 
 
 def synthetic_docs(spark: SparkSession, sf_dir: str, kept: str = "true") -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: i).alias("lines"))
+    orders = keys(spark, sf_dir).select("o_orderkey", F.sequence(F.lit(0), F.lit(11)).alias("lines"))
     text = F.expr(f"array_join(transform(lines, i -> CASE WHEN {kept} THEN {LINE} ELSE '' END), chr(10))")
     return orders.select(F.col("o_orderkey").alias("doc_id"), text.alias("markdown"))
 

@@ -15,6 +15,7 @@ from ..operators import report as R
 from ..operators import resolve as V
 from ..operators import whole as W
 from ..sources import readers, sinks
+from ..sources.stored import stored
 from . import duck as D
 from .synthetic import LINE, LINES_DUCK, REAL_TEXT
 
@@ -313,7 +314,8 @@ def fallback_pages(spark, sf_dir):
 
 @query(f"WITH RECURSIVE {_PAGED}, {_alternative(D.lines_of(MIDDLE))} SELECT * FROM {D.chosen('both_')}")
 def alternative_replacement(spark, sf_dir):
-    return flat(V.replace_from_alternative(page_equations(spark, sf_dir), V.extract_equations(synthetic_docs(spark, sf_dir, MIDDLE))))
+    found = stored(page_equations(spark, sf_dir), "equations")
+    return flat(V.replace_from_alternative(found, stored(V.extract_equations(synthetic_docs(spark, sf_dir, MIDDLE)), "alternative")))
 
 
 #: Single pages as documents of their own; only those that page text alone speaks for are converted again.
@@ -327,7 +329,7 @@ _RETRY = (
 
 @query(f"WITH RECURSIVE {_PAGED}, {_RETRY} {_replaced('latest', ', e.rank')}")
 def page_retry_replacement(spark, sf_dir):
-    found = page_equations(spark, sf_dir)
+    found = stored(page_equations(spark, sf_dir), "equations")
     return flat(V.replace_from_pages(found, V.page_candidates(page_docs(spark, sf_dir).join(V.retry_pages(found), ["doc_id", "page"], "left_semi"))))
 
 

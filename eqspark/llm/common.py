@@ -1,5 +1,4 @@
-"""Shared plumbing: the folder for intermediate tables, shipping the package to executors,
-stable 64-bit word hashes, and distributed ranking without a single-partition window."""
+"""Shared plumbing: shipping the package to executors, stable 64-bit word hashes, and distributed ranking without a single-partition window."""
 
 from __future__ import annotations
 
@@ -17,56 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.stored import fresh_dir, scratch, shared_dir, stored  # noqa: F401
+
 #: ASCII white space, the separators of ``[^\x20\x09-\x0D]+``; bytes.split() splits at exactly these.
 SPACE = " \t\n\r\x0b\x0c"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors can reach.
-
-    It is ``spark.checkpoint.dir`` of the session. Only where that is unset in local mode (tests)
-    a folder of our own is made and set as the checkpoint folder; it goes when Python ends. A cluster
-    without the setting is refused, as its executors could not see the driver's folders.
-    """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = getattr(spark.sparkContext, "_eqspark_dir", None)
-        if not configured:
-            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            configured = tempfile.mkdtemp(prefix="eqspark-")
-            spark.sparkContext._eqspark_dir = configured
-            spark.sparkContext.setCheckpointDir(configured)
-            atexit.register(shutil.rmtree, configured, ignore_errors=True)
-    return configured.rstrip("/")
-
-
-_scopes: list[list[str]] = []
-
-
-def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder."""
-    path = f"{shared_dir(spark)}/eqspark/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
-    return path
-
-
-@contextlib.contextmanager
-def scratch(spark: SparkSession, *more: str | None):
-    """Deletes, at its end, the folders that ``fresh_dir`` named in it, and ``more``. For a step whose
-    result is written in it to a folder that was named before."""
-    _scopes.append([m for m in more if m is not None])
-    try:
-        yield
-    finally:
-        made = _scopes.pop()
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in made:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(hadoop).delete(where, True)
-
-
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """``names``, each with as many underscores behind it as keep it apart from the columns of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -82,16 +37,6 @@ def quoted(names: list[str]) -> list[Column]:
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
 
 
-def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    This cuts lineage: a lost executor costs no more than the tasks that ran on it.
-    """
-    path = fresh_dir(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ship(spark: SparkSession) -> None:
     """Make this package importable on executors (once per Spark context)."""
     sc = spark.sparkContext

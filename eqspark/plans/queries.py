@@ -314,8 +314,7 @@ def fallback_pages(spark, sf_dir):
 
 @query(f"WITH RECURSIVE {_PAGED}, {_alternative(D.lines_of(MIDDLE))} SELECT * FROM {D.chosen('both_')}")
 def alternative_replacement(spark, sf_dir):
-    found = stored(page_equations(spark, sf_dir), "equations")
-    return flat(V.replace_from_alternative(found, stored(V.extract_equations(synthetic_docs(spark, sf_dir, MIDDLE)), "alternative")))
+    return flat(V.extract_with_alternative(synthetic_docs(spark, sf_dir, BROKEN), page_lines(spark, sf_dir), synthetic_docs(spark, sf_dir, MIDDLE)))
 
 
 #: Single pages as documents of their own; only those that page text alone speaks for are converted again.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe_automaton, hilbert, kneser_ney, minhash_join, mpegts, packing, pii, quality_forest, sstable, token_cache
-from .common import documents, fresh_dir
+from .common import documents, fresh_dir, stored
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +18,8 @@ def op2_token_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return quality_forest.assess(docs, quality_forest.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    measured = stored(quality_forest.measure(documents(spark, sf_dir)), "quality-measured")
+    return quality_forest.judge(measured, quality_forest.fit_measured(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def op4_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
